@@ -729,3 +729,10 @@ ORACLE |= {
     "minute_stats": f"""WITH {CALLS} SELECT ts // 60000000 * 60000000 AS window_start, server, count(*) AS calls,
       count(*) FILTER (seq % 3 = 0) AS blocked, round(avg(latency_ms), 3) AS avg_latency_ms FROM calls GROUP BY 1, 2""",
 }
+
+ORACLE["stream_admission"] = ORACLE["rate_limit_admission"]
+ORACLE["stream_history"] = ORACLE["history_keep_last"]
+# A stream in append mode gives the windows that the watermark has closed.
+ORACLE["stream_minute_stats"] = ORACLE["minute_stats"].replace(
+    "FROM calls GROUP BY 1, 2",
+    "FROM calls GROUP BY 1, 2 HAVING ts // 60000000 * 60000000 + 60000000 <= (SELECT max(ts) - 60000000 FROM calls)")

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import labels, parse
 from shelfwise.operators import (
-    audit, bi, classify, clean, cluster, dedup, enrich, hierarchy, normalize, rules, scoring,
+    audit, bi, classify, clean, cluster, dedup, density, enrich, hierarchy, normalize, rules, scoring,
 )
-from shelfwise.plans import catalogue, derived
+from shelfwise.plans import catalogue, derived, runs
 from shelfwise.sources import catalog, html, sinks
 from shelfwise.sources.catalog import table
 from shelfwise.staging import stage, stage_root
+from shelfwise.streaming import calls as call_stream
+from shelfwise.streaming import history as history_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -817,30 +819,42 @@ def _split(spark, folder):
     return stage(classify.stratified_split(rows), "split")
 
 
-@query
-def rf_metrics(spark, folder):
-    return classify.train_and_evaluate(_split(spark, folder), "random_forest")[1]
+_forests: dict = {}
+
+
+def _forest(spark, folder):
+    """Split, model and metrics of the random forest, fitted once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _forests:
+        split = _split(spark, folder)
+        _forests[key] = (split, *classify.train_and_evaluate(split, "random_forest"))
+    return _forests[key]
 
 
 @query
-def gbt_metrics(spark, folder):
-    return classify.train_and_evaluate(_split(spark, folder), "boosted_trees")[1]
+def rf_metrics(spark, folder):
+    return _forest(spark, folder)[2]
 
 
 @query
 def rf_importances(spark, folder):
-    model, _ = classify.train_and_evaluate(_split(spark, folder), "random_forest")
-    return classify.importances(model, clean.feature_columns(catalogue.featured(spark, folder)), spark)
+    names = clean.feature_columns(catalogue.featured(spark, folder))
+    return classify.importances(_forest(spark, folder)[1], names, spark)
 
 
 @query
 def rf_diagnostics(spark, folder):
-    split = _split(spark, folder)
-    model, _ = classify.train_and_evaluate(split, "random_forest")
+    split, model, _ = _forest(spark, folder)
     names = clean.feature_columns(catalogue.featured(spark, folder))
     return classify.diagnostics(model, split.where(~F.col("is_test")), split.where("is_test"), names)
 
 
+@query
+def gbt_metrics(spark, folder):
+    """Fewer rounds than the default 300: each one is a chain of short jobs."""
+    return classify.train_and_evaluate(_split(spark, folder), "boosted_trees", rounds=60)[1]
+
+
 @query
 def rf_cross_validation(spark, folder):
     train = _split(spark, folder).where(~F.col("is_test")).drop("is_test")
@@ -875,3 +889,60 @@ def pca_variance(spark, folder):
 @query
 def ward_labels(spark, folder):
     return hierarchy.ward(catalogue.matrix(spark, folder).select("product_id", "features"), 5)
+
+
+@query
+def dbscan_labels(spark, folder):
+    return density.dbscan(catalogue.matrix(spark, folder).select("product_id", "features"))
+
+
+@query
+def clustering_metrics(spark, folder):
+    rows = catalogue.matrix(spark, folder).select(
+        "product_id", "title", "price", "rating", "review_count", "discount_pct", "score", "features")
+    return runs.cluster_all(rows, 5, n_init=2)[1]
+
+
+# --- streams --------------------------------------------------------------
+
+
+def _event_stream(spark, folder):
+    """The events files as a stream of audit entries."""
+    shape = table(spark, folder, "events").schema
+    events = spark.readStream.schema(shape).parquet(f"{folder}/events*.parquet")
+    return events.select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_type").alias("server"), (F.col("event_id") % 3 != 0).alias("allowed"),
+        F.col("value").alias("latency_ms"))
+
+
+def _drain(rows: DataFrame) -> DataFrame:
+    """Run a stream over what is there and read its output back."""
+    spark, path = rows.sparkSession, f"{stage_root(rows.sparkSession)}/{_fresh()}"
+    started = rows.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(
+        availableNow=True).start(f"{path}/out")
+    started.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/out")
+
+
+@query
+def stream_minute_stats(spark, folder):
+    done = _drain(call_stream.minute_stats(_event_stream(spark, folder)))
+    return done.select(F.unix_micros("window_start").alias("window_start"), "server", "calls", "blocked",
+                       F.round("avg_latency_ms", 3).alias("avg_latency_ms"))
+
+
+@query
+def stream_admission(spark, folder):
+    events = _event_stream(spark, folder).withColumn("ts", F.unix_micros("ts"))
+    return _drain(call_stream.admit(events, {"click": 3}, 4, derived.HOUR))
+
+
+@query
+def stream_history(spark, folder):
+    rows = stage(derived.runs(spark, folder).withColumn("scraped_at", F.lit("2024-01-01")), "runs")
+    path = f"{stage_root(spark)}/{_fresh()}"
+    source = spark.readStream.schema(rows.schema).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
+    history_stream.accumulate(source, f"{path}/log", f"{path}/state").awaitTermination()
+    return history_stream.current(spark.read.parquet(f"{path}/log")).select(
+        "title", "price", "platform", "product_id", "rating")
