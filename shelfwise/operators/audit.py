@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.staging import stage
+
 MICROS = 1_000_000
 SPAN = 60 * MICROS
 
@@ -95,13 +97,14 @@ def busy_phases(calls: DataFrame, limits: dict[str, int], default: int, span: in
     in_slot = Window.partitionBy("server", "_slot").orderBy("ts", "seq").rowsBetween(
         Window.unboundedPreceding, 0)
     local = own.withColumn("_phase", F.max(F.when(F.col("_starts"), F.col("ts"))).over(in_slot))
-    # A phase that began in an earlier slot: carry its start over the slots.
-    per_slot = own.where("_starts").groupBy("server", "_slot").agg(F.max("ts").alias("_last"))
-    seen = own.select("server", "_slot").distinct().join(per_slot, ["server", "_slot"], "left")
-    carried = seen.withColumn("_carry", F.max("_last").over(
-        Window.partitionBy("server").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    )).select("server", "_slot", "_carry")
-    return local.join(carried, ["server", "_slot"]).select(
+    placed_once = stage(local.select(
+        *calls.columns, "_limit", "_slot", "_busy", "_starts", "_phase"), "phases")
+    # A phase that began in an earlier slot: carry its start over the slots,
+    # of which there is one row per server and hour here.
+    slots = placed_once.groupBy("server", "_slot").agg(F.max(F.when(F.col("_starts"), F.col("ts"))).alias("_last"))
+    carried = slots.select("server", "_slot", F.max("_last").over(
+        Window.partitionBy("server").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    return placed_once.join(carried, ["server", "_slot"]).select(
         *calls.columns, "_limit",
         F.when(F.col("_busy"), F.coalesce("_phase", "_carry")).alias("phase"),
     )

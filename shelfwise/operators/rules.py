@@ -107,16 +107,18 @@ def item_supports(rows: DataFrame, n: int, min_support: float = 0.0) -> DataFram
 def pair_counts(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     """Baskets holding both items, for pairs of frequent items.
 
-    Infrequent items go first (no rule can contain them), which leaves at most
-    average width / min_support distinct items, in any one basket too. A
-    basket's pairs are counted where they arise: the partial aggregation sits
-    in the same stage, so only distinct pairs are shuffled.
+    Infrequent items go first, as no rule can hold them. That leaves at most
+    average basket width / min_support distinct items, and no basket keeps
+    more than those, however many rows it had. Baskets with the same items are
+    then merged into one weighted set, and only the distinct sets are paired.
     """
     kept = rows.join(frequent.select("item"), "item", "left_semi")
     sets = kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    pairs = sets.select(F.explode(F.flatten(F.transform("items", lambda a, i: F.transform(
-        F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p"))
-    return pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("n_pair"))
+    merged = sets.where(F.size("items") >= 2).groupBy("items").agg(F.count("*").alias("n"))
+    later = F.transform("items", lambda a, i: F.transform(
+        F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    pairs = merged.select("n", F.explode(F.flatten(later)).alias("p"))
+    return pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("n_pair"))
 
 
 def pair_rules(

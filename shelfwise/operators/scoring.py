@@ -131,35 +131,48 @@ def select_top_k(df: DataFrame, k: int = 50) -> DataFrame:
     return top_n(df, k, "score")
 
 
+def _best_of(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """Best-scored row per group as ``best``.
+
+    The best score per group is a hash aggregation; only the rows that reach
+    it meet the tie-break, which needs a sort.
+    """
+    rows = df.where(F.col("score").isNotNull())
+    peak = rows.groupBy(*keys).agg(F.max("score").alias("_peak"))
+    tied = rows.join(peak, keys).where(F.col("score") == F.col("_peak"))
+    return tied.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.col("product_id")).alias("best"))
+
+
 def best_per_category(df: DataFrame, n: int | None = 6) -> DataFrame:
     """Best product of each category; the first ``n`` categories by name."""
-    best = (
-        df.where(F.col("category").isNotNull() & F.col("score").isNotNull())
-        .groupBy("category")
-        .agg(F.min_by(F.struct("product_id", "title", "price", "score"),
-                      F.struct(-F.col("score"), F.col("product_id"))).alias("best"))
-        .select("category", "best.*")
-    )
-    return best if n is None else best.orderBy("category").limit(n)
+    named = df.where(F.col("category").isNotNull())
+    if n is not None:
+        first = named.select("category").distinct().orderBy("category").limit(n)
+        named = named.join(F.broadcast(first), "category", "left_semi")  # n rows
+    best = _best_of(named, ["category"], ["product_id", "title", "price", "score"])
+    return best.select("category", "best.*").orderBy("category")
 
 
-def shop_stats(df: DataFrame, top_product: bool = False) -> DataFrame:
+def shop_stats(df: DataFrame) -> DataFrame:
     """Average score and rating and product count of every shop."""
-    extra = (
-        [F.min_by("title", F.struct(-F.col("score"), F.col("product_id"))).alias("top_product")]
-        if top_product else []
-    )
     return (
         df.where(F.col("shop_name").isNotNull() & F.col("shop_country").isNotNull())
         .groupBy("shop_name", "shop_country")
         .agg(F.avg("score").alias("avg_score"), F.count("title").alias("product_count"),
-             F.avg("rating").alias("avg_rating"), *extra)
+             F.avg("rating").alias("avg_rating"))
     )
 
 
 def shop_leaderboard(df: DataFrame, n: int = 10, decimals: int = 6) -> DataFrame:
-    """Best shops by average score (rounded, so that ties break by name)."""
-    stats = shop_stats(df, top_product=True).withColumns({
+    """Best shops by average score (rounded, so that ties break by name).
+
+    The best product is looked up for the ``n`` winning shops only.
+    """
+    keys = ["shop_name", "shop_country"]
+    stats = shop_stats(df).withColumns({
         "avg_score": F.round("avg_score", decimals), "avg_rating": F.round("avg_rating", decimals),
     })
-    return stats.orderBy(F.desc("avg_score"), "shop_name", "shop_country").limit(n)
+    winners = stats.orderBy(F.desc("avg_score"), *keys).limit(n)
+    theirs = df.join(F.broadcast(winners.select(*keys)), keys, "left_semi")
+    best = _best_of(theirs, keys, ["title"]).select(*keys, F.col("best.title").alias("top_product"))
+    return winners.join(F.broadcast(best), keys, "left").orderBy(F.desc("avg_score"), *keys)

@@ -77,7 +77,7 @@ def min_max_scaled(value: Column, low: float | None, high: float | None) -> Colu
 def ordered_position(
     df: DataFrame, keys: list[str], slice_by: Column, order: list[Column], name: str = "pos"
 ) -> DataFrame:
-    """1-based position of every row inside its group.
+    """1-based position of every row inside its group (rows with a null key are left out).
 
     ``slice_by`` must never decrease along ``order``; it cuts each group into
     slices. Rows are numbered inside a slice, and the sizes of the earlier
@@ -88,16 +88,11 @@ def ordered_position(
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_slice").alias("_o_slice"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-    )
+        *keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     numbered = sliced.withColumn("_in_slice", F.row_number().over(inside))
-    same = F.col("_slice") == F.col("_o_slice")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return numbered.join(offsets, same).select(
+    # The window and the join share their keys, so the join adds no shuffle of the rows.
+    return numbered.join(offsets, [*keys, "_slice"]).select(
         *df.columns, (F.col("_offset") + F.col("_in_slice")).alias(name)
     )
 

@@ -15,7 +15,7 @@ from shelfwise.operators import (
 from shelfwise.plans import catalogue, derived, runs
 from shelfwise.sources import catalog, html, sinks
 from shelfwise.sources.catalog import table
-from shelfwise.staging import stage, stage_root
+from shelfwise.staging import fresh_path, stage
 from shelfwise.streaming import calls as call_stream
 from shelfwise.streaming import history as history_stream
 
@@ -46,14 +46,14 @@ def products_view(spark, folder):
 @query
 def csv_snapshot(spark, folder):
     path = sinks.write_snapshot_csv(
-        catalogue.products(spark, folder).select(*PRODUCT_COLUMNS), f"{stage_root(spark)}/{_fresh()}", "20240101_000000")
+        catalogue.products(spark, folder).select(*PRODUCT_COLUMNS), fresh_path(spark), "20240101_000000")
     return catalog.read_products_csv(spark, path).select(*PRODUCT_COLUMNS)
 
 
 @query
 def jsonl_snapshot(spark, folder):
     rows = catalogue.products(spark, folder).select("product_id", "title", "category", "price", "rating")
-    path = sinks.write_jsonl(rows, f"{stage_root(spark)}/{_fresh()}/products")
+    path = sinks.write_jsonl(rows, fresh_path(spark, "jsonl"))
     return spark.read.schema(rows.schema).json(path)
 
 
@@ -62,13 +62,7 @@ def export_manifest(spark, folder):
     scored = catalogue.scored(spark, folder)
     datasets = {"top_k_products": scoring.select_top_k(scored), "shop_leaderboard": scoring.shop_leaderboard(scored),
                 "products_scored": scored}
-    return sinks.write_bundle(datasets, f"{stage_root(spark)}/{_fresh()}", "2024-01-01T00:00:00")
-
-
-def _fresh() -> str:
-    import uuid
-
-    return f"run-{uuid.uuid4().hex}"
+    return sinks.write_bundle(datasets, fresh_path(spark), "2024-01-01T00:00:00")
 
 
 @query
@@ -763,7 +757,7 @@ def audit_recent(spark, folder):
 @query
 def audit_log_files(spark, folder):
     """Entries appended to JSON lines in two writes and read back."""
-    path = f"{stage_root(spark)}/{_fresh()}/audit"
+    path = fresh_path(spark, "audit")
     calls = derived.calls(spark, folder)
     for half in (0, 1):
         sinks.append_log(calls.where(F.col("seq") % 2 == half), path)
@@ -918,7 +912,7 @@ def _event_stream(spark, folder):
 
 def _drain(rows: DataFrame) -> DataFrame:
     """Run a stream over what is there and read its output back."""
-    spark, path = rows.sparkSession, f"{stage_root(rows.sparkSession)}/{_fresh()}"
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "stream")
     started = rows.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(
         availableNow=True).start(f"{path}/out")
     started.awaitTermination()
@@ -941,7 +935,7 @@ def stream_admission(spark, folder):
 @query
 def stream_history(spark, folder):
     rows = stage(derived.runs(spark, folder).withColumn("scraped_at", F.lit("2024-01-01")), "runs")
-    path = f"{stage_root(spark)}/{_fresh()}"
+    path = fresh_path(spark)
     source = spark.readStream.schema(rows.schema).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
     history_stream.accumulate(source, f"{path}/log", f"{path}/state").awaitTermination()
     return history_stream.current(spark.read.parquet(f"{path}/log")).select(

@@ -25,7 +25,9 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.count("*").alias("n"),
         F.sum(stars).alias("stars"),
         F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("cents_off"),
-        F.size(F.collect_set("l_linenumber")).alias("variant_count"),
+        # Distinct line numbers as a bit set (an order has at most 7 lines): one
+        # hash aggregation with map-side merging instead of a second shuffle.
+        F.bit_count(F.bit_or(F.expr("shiftleft(1L, l_linenumber)"))).alias("variant_count"),
         F.min("l_shipdate").alias("published_at"),
     )
     suppliers = supplier.count()  # answered from the parquet footers

@@ -32,7 +32,11 @@ def stage_root(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the frame as parquet under a fresh folder and read it back."""
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh_path(spark: SparkSession, name: str = "run") -> str:
+    """Unused path in the application's own folder, which can go when the application has ended."""
+    return f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
