@@ -24,3 +24,8 @@ def hash_pick(key: Column, n: int, salt: str = "") -> Column:
 def hash_unit(key: Column, salt: str = "") -> Column:
     """Draw from [0, 1) on a grid of 1e-6, so that both engines agree exactly."""
     return hash_pick(key, 1_000_000, salt) / F.lit(1_000_000.0)
+
+
+def catalogue_key(product_id: Column) -> Column:
+    """Whole number that orders products: the id itself, or a hash of one that is no number."""
+    return F.coalesce(product_id.try_cast("bigint"), F.pmod(F.xxhash64(product_id), F.lit(1 << 62)))

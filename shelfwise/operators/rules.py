@@ -35,7 +35,7 @@ def baskets_from_related(df: DataFrame) -> DataFrame:
 def _titles_per_group(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct titles of each group with the smallest catalogue key of the title."""
     rows = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "title"]]))
-    return rows.groupBy(*keys, "title").agg(F.min(F.col("product_id").cast("bigint")).alias("first_id"))
+    return rows.groupBy(*keys, "title").agg(F.min(hashing.catalogue_key(F.col("product_id"))).alias("first_id"))
 
 
 def baskets_from_chunks(df: DataFrame, width: int = 5, slices: int = 1024) -> DataFrame:
