@@ -736,3 +736,18 @@ ORACLE["stream_history"] = ORACLE["history_keep_last"]
 ORACLE["stream_minute_stats"] = ORACLE["minute_stats"].replace(
     "FROM calls GROUP BY 1, 2",
     "FROM calls GROUP BY 1, 2 HAVING ts // 60000000 * 60000000 + 60000000 <= (SELECT max(ts) - 60000000 FROM calls)")
+
+ORACLE |= {
+    "ingest_snapshot": products(f"""SELECT platform, price_band, is_on_sale, count(*) AS products FROM (
+      SELECT DISTINCT ON (title, price, platform) platform, {BAND} AS price_band, promo IS NOT NULL AND promo < price AS is_on_sale FROM (
+        SELECT 'shopify' AS platform, title, key, CASE WHEN discount_pct > 0 AND price <> 0 THEN round(price + 5, 2) ELSE price END AS price,
+          CASE WHEN discount_pct > 0 THEN price END AS promo,
+          'https://shop' || (key % {SHOPS}) || '.example.com/products/item-' || product_id AS url FROM products
+        UNION ALL SELECT 'woocommerce', title, key, CASE WHEN key % 5 <> 0 THEN round(price + 1, 2) ELSE price END,
+          CASE WHEN discount_pct > 0 AND key % 5 <> 0 AND price <> 0 THEN price END, 'https://w/' || product_id FROM products)
+      ORDER BY title, price, platform, url) GROUP BY 1, 2, 3"""),
+    "enrichment_summary": clean(f"""SELECT least(50, count(*)) AS summaries_count,
+      substr('{REPLIES["trend"]}', 1, 200) || '...' AS trend_report,
+      substr('{REPLIES["profile"]}', 1, 200) || '...' AS client_profile,
+      substr('{REPLIES["strategy"]}', 1, 200) || '...' AS marketing_strategy FROM clean"""),
+}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import labels, parse
 from shelfwise.operators import (
-    audit, bi, classify, clean, cluster, dedup, density, enrich, hierarchy, normalize, rules, scoring,
+    audit, bi, classify, clean, cluster, dedup, enrich, normalize, rules, scoring,
 )
 from shelfwise.plans import catalogue, derived, runs
 from shelfwise.sources import catalog, html, sinks
@@ -880,21 +880,55 @@ def pca_variance(spark, folder):
     return cluster.explained_variance(cluster.pca(catalogue.matrix(spark, folder)), spark)
 
 
-@query
-def ward_labels(spark, folder):
-    return hierarchy.ward(catalogue.matrix(spark, folder).select("product_id", "features"), 5)
+_groupings: dict = {}
+
+
+def _grouping(spark, folder):
+    """All cluster labels and their metrics, computed once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _groupings:
+        rows = catalogue.matrix(spark, folder).select(
+            "product_id", "title", "price", "rating", "review_count", "discount_pct", "score", "features")
+        _groupings[key] = runs.cluster_all(rows, 5, n_init=2)
+    return _groupings[key]
 
 
 @query
 def dbscan_labels(spark, folder):
-    return density.dbscan(catalogue.matrix(spark, folder).select("product_id", "features"))
+    return _grouping(spark, folder)[0].select("product_id", "dbscan_label")
+
+
+@query
+def ward_labels(spark, folder):
+    return _grouping(spark, folder)[0].select("product_id", "hc_label")
 
 
 @query
 def clustering_metrics(spark, folder):
-    rows = catalogue.matrix(spark, folder).select(
-        "product_id", "title", "price", "rating", "review_count", "discount_pct", "score", "features")
-    return runs.cluster_all(rows, 5, n_init=2)[1]
+    return _grouping(spark, folder)[1]
+
+
+# --- whole runs -----------------------------------------------------------
+
+
+@query
+def ingest_snapshot(spark, folder):
+    payloads = {"shopify": derived.shopify_pages(spark, folder), "woocommerce": derived.woo_pages(spark, folder)}
+    out = runs.ingest(payloads, fresh_path(spark, "ingest"), "2024-01-01T00:00:00", "20240101")
+    return out["snapshot"].groupBy("platform", "price_band", "is_on_sale").agg(F.count("*").alias("products"))
+
+
+@query
+def run_report(spark, folder):
+    mined = rules.pair_rules(derived.order_items(spark, folder, "p_type"), 0.05, 0.3)
+    names = clean.feature_columns(catalogue.featured(spark, folder))
+    return runs.run_report(catalogue.scored(spark, folder), 50, names, _forest(spark, folder)[2],
+                           _grouping(spark, folder)[1], mined)
+
+
+@query
+def enrichment_summary(spark, folder):
+    return runs.enrich_catalogue(catalogue.scored(spark, folder), fresh_path(spark, "enriched"), "2024-01-01")
 
 
 # --- streams --------------------------------------------------------------

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from check_oracle import oracle, rows_of
 
-SLOW = {"gbt_metrics", "rf_cross_validation", "clustering_metrics", "kmeans_sweep", "dbscan_labels", "ward_labels"}
+SLOW = {"gbt_metrics", "rf_cross_validation", "clustering_metrics", "kmeans_sweep", "dbscan_labels", "ward_labels", "run_report"}
 
 
 @pytest.fixture(scope="module")
