@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import hashing
 from shelfwise.operators.stats import even_slices, ordered_position
+from shelfwise.staging import stage
 
 RULE_COLUMNS = ["antecedents", "consequents", "support", "confidence", "lift"]
 
@@ -124,7 +125,11 @@ def pair_counts(rows: DataFrame, frequent: DataFrame) -> DataFrame:
 def pair_rules(
     rows: DataFrame, min_support: float = 0.05, min_confidence: float = 0.3, n_baskets: int | None = None
 ) -> DataFrame:
-    """Rules between two items, in both directions, from (basket_id, item) rows."""
+    """Rules between two items, in both directions, from distinct (basket_id, item) rows.
+
+    The rows are read by several passes, so they are written out first.
+    """
+    rows = stage(rows, "basket_rows")
     n = n_baskets if n_baskets is not None else rows.select("basket_id").distinct().count()
     frequent = item_supports(rows, n, min_support)
     pairs = pair_counts(rows, frequent).where(F.col("n_pair") / F.lit(n) >= min_support)
@@ -159,8 +164,6 @@ def itemset_rules(itemsets: DataFrame, n: int, min_lift: float = 1.0, max_size:
     Every proper non-empty subset of an itemset is an antecedent. Sets larger
     than ``max_size`` would have thousands of subsets each; they raise.
     """
-    from shelfwise.staging import stage
-
     sets = stage(itemsets, "itemsets")
     largest = sets.agg(F.max(F.size("items")).alias("m")).first()["m"] or 0
     if largest > max_size:
@@ -207,7 +210,5 @@ def top_rules(rules: DataFrame, n: int = 10, min_lift: float = 1.0) -> DataFrame
 
 def mine_rules(df: DataFrame, min_support: float = 0.01, min_confidence: float = 0.1) -> DataFrame:
     """Pair rules over all basket families of a catalogue."""
-    from shelfwise.staging import stage
-
     baskets = stage(all_baskets(df), "baskets")
     return pair_rules(basket_rows(baskets), min_support, min_confidence, baskets.count())

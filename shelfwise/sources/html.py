@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -63,6 +64,9 @@ class Node:
     parent: "Node | None" = None
     inside: list = field(default_factory=list)  # child nodes and texts in order
 
+    def __post_init__(self) -> None:
+        self.classes = frozenset(self.attrs.get("class", "").split())
+
     def text(self) -> str:
         parts = [x.text() if isinstance(x, Node) else x.strip() for x in self.inside]
         return "".join(parts) if self.tag not in ("script", "style") else ""
@@ -104,23 +108,35 @@ class _TreeBuilder(HTMLParser):
 _ATTRIBUTE = re.compile(r"\[([\w-]+)(?:(\*?=)'([^']*)')?\]")
 
 
+@lru_cache(maxsize=1024)
+def _simple(text: str) -> tuple[str, frozenset, tuple]:
+    """Tag, classes and attribute tests of one simple selector."""
+    tag, *classes = _ATTRIBUTE.sub("", text).split(".")
+    return tag, frozenset(classes), tuple(_ATTRIBUTE.findall(text))
+
+
+@lru_cache(maxsize=1024)
+def _chains(selector: str) -> tuple[tuple[str, ...], ...]:
+    return tuple(tuple(chain.split()) for chain in selector.split(","))
+
+
 def _fits(node: Node, simple: str) -> bool:
-    """Does a node match one simple selector: tag, classes and attributes?"""
-    for name, op, value in _ATTRIBUTE.findall(simple):
+    tag, classes, tests = _simple(simple)
+    if (tag and node.tag != tag) or not classes <= node.classes:
+        return False
+    for name, op, value in tests:
         actual = node.attrs.get(name)
         if actual is None or (op == "*=" and value not in actual):
             return False
         # Class and rel hold lists of words; equality is on one of them or on all.
         if op == "=" and actual != value and not (name in ("class", "rel") and value in actual.split()):
             return False
-    tag, *classes = _ATTRIBUTE.sub("", simple).split(".")
-    return (not tag or node.tag == tag) and set(classes) <= set(node.attrs.get("class", "").split())
+    return True
 
 
 def _matches(node: Node, selector: str, top: Node) -> bool:
     """Selector lists ("a, b") of descendant chains ("a b")."""
-    for chain in selector.split(","):
-        *outer, last = chain.split()
+    for *outer, last in _chains(selector):
         if not _fits(node, last):
             continue
         above = node.parent
