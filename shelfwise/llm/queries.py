@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import exactdedup, urlfilter
+from shelfwise.llm import decontaminate, exactdedup, minhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,32 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY body ORDER BY length(t) DE
 FROM d
 """
 
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLE["op4_decontaminate"] = r"""
+WITH iw AS (SELECT item_id::VARCHAR AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark WHERE item_id IS NOT NULL),
+win AS (SELECT DISTINCT id, array_to_string(list_slice(w, i, i + 9), ' ') AS win, least(len(w), 10) AS n
+        FROM (SELECT id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM iw WHERE len(w) > 0)),
+dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+pos AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+        FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+              FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT p.doc_id, p.i, p.n, w.id FROM pos p JOIN win w ON p.win = w.win AND p.n = w.n),
+word AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+         FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
+          FROM hit GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 #: The rules of the URL query.
 URL_RULES = """
 VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -60,3 +86,26 @@ m AS (SELECT p.n, p.page_id, p.host, p.path, r.h || r.q AS rule, r.verdict,
       FROM p LEFT JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.q))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
+
+
+@query
+def op10_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"), size=4, percent=80)
+
+
+ORACLE["op10_minhash_neardup"] = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+      GROUP BY 1, 2),
+l AS (SELECT u, v FROM c JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+reach AS (SELECT u AS doc_id, v AS other FROM e UNION SELECT r.doc_id, e.v FROM reach r JOIN e ON r.other = e.u),
+least_ AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least_ USING (doc_id)
+"""
