@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import decontaminate, exactdedup, minhash, urlfilter
+from shelfwise.llm import decontaminate, exactdedup, linedup, minhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,44 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.d
        d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least_ USING (doc_id)
 """
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linedup.line_report(_table(spark, folder, "documents"))
+
+
+ORACLE["op6_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, i - 1 AS pos, ls[i] AS line, md5(ls[i]) AS h,
+                  len(regexp_extract_all(ls[i], '[^ \t\n\x0B\f\r]+')) * 4 + 1 AS w
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS ls,
+                        unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)),
+s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                         0)::BIGINT AS start, sum(w) OVER (PARTITION BY doc_id) AS total FROM l),
+g AS (SELECT doc_id, pos, start, total, md5(string_agg(h, ',') OVER r) AS gram, count(*) OVER r AS lines FROM s
+      WINDOW r AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 159 FOLLOWING)),
+m AS (SELECT doc_id, start, total, min({'gram': gram, 'pos': pos, 'lines': lines}) OVER (
+             PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 40 FOLLOWING) AS f FROM g),
+f AS (SELECT DISTINCT doc_id, f.gram AS gram, f.pos AS pos, f.lines AS lines FROM m WHERE total - start >= 200),
+o AS (SELECT *, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY gram) AS first FROM f),
+p AS (SELECT doc_id, pos, lines, first.d AS doc0, first.p AS pos0 FROM o WHERE doc_id <> first.d OR pos <> first.p),
+k AS (SELECT unnest(generate_series(1, 65)) AS k),
+lf AS (SELECT p.doc_id, p.pos, min(k) - 1 AS n FROM p CROSS JOIN k
+       LEFT JOIN s a ON a.doc_id = p.doc_id AND a.pos = p.pos - k
+       LEFT JOIN s b ON b.doc_id = p.doc0 AND b.pos = p.pos0 - k
+       WHERE k = 65 OR a.h IS NULL OR b.h IS NULL OR a.h <> b.h GROUP BY 1, 2),
+rt AS (SELECT p.doc_id, p.pos, min(k) - 1 AS n FROM p CROSS JOIN k
+       LEFT JOIN s a ON a.doc_id = p.doc_id AND a.pos = p.pos + p.lines - 1 + k
+       LEFT JOIN s b ON b.doc_id = p.doc0 AND b.pos = p.pos0 + p.lines - 1 + k
+       WHERE k = 65 OR a.h IS NULL OR b.h IS NULL OR a.h <> b.h GROUP BY 1, 2),
+gone AS (SELECT DISTINCT p.doc_id, unnest(generate_series(p.pos - lf.n, p.pos + lines - 1 + rt.n)) AS pos
+         FROM p JOIN lf USING (doc_id, pos) JOIN rt USING (doc_id, pos)),
+isl AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone),
+runs AS (SELECT doc_id, min(pos) AS a, max(pos) AS b FROM isl GROUP BY doc_id, island),
+rem AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed, sum(b - a + 1) AS n FROM runs GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+         FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+SELECT d.doc_id, len(string_split(d.text, chr(10))) AS n_lines, coalesce(rem.n, 0)::BIGINT AS n_removed,
+       coalesce(removed, '') AS removed, sha256(coalesce(kept.text, '')) AS text_sha256
+FROM documents d LEFT JOIN rem USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
