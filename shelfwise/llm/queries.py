@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import decontaminate, exactdedup, linedup, minhash, urlfilter
+from shelfwise.llm import decontaminate, exactdedup, linedup, minhash, quality, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,3 +150,8 @@ SELECT d.doc_id, len(string_split(d.text, chr(10))) AS n_lines, coalesce(rem.n,
        coalesce(removed, '') AS removed, sha256(coalesce(kept.text, '')) AS text_sha256
 FROM documents d LEFT JOIN rem USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
