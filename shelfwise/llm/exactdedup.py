@@ -9,8 +9,9 @@ log8(n / 64) rounds. Equality is decided by bytes alone; digests are output only
 * The first round counts 64-byte digits without moving texts, and rows whose
   digit is their own leave there. Later rounds carry only open rows.
 * Counts merge map-side, so a group that holds a third of all rows costs one
-  row a task. Rows then meet their group's record in a join that the adaptive
-  planner can split, never in a window or a collected list.
+  row a task. Rows then meet their group's record in a merge join that the
+  adaptive planner can split, never in a window or a collected list. The join
+  is the same at every size, as the number of groups follows the rows.
 * Every round is a written table, so lost executors re-read files.
 """
 
@@ -39,7 +40,7 @@ def _first_round(rows: DataFrame, width: int) -> DataFrame:
     shared = (rows.select(_digit("body", width).alias("digit")).groupBy("digit").count().where("count > 1")
               .select("digit", F.monotonically_increasing_id().alias("gid")))
     shared = stage(shared, "radix-groups")
-    return rows.withColumn("digit", _digit("body", width)).join(shared, "digit", "left").select(
+    return rows.withColumn("digit", _digit("body", width)).join(shared.hint("merge"), "digit", "left").select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", "n_points", F.unhex(F.sha2("body", 256)).alias("sha"),
         F.col("gid").isNotNull().alias("open"), F.lit(1).cast("bigint").alias("group_size"),
         F.col("doc_id").alias("keep_id"), F.lit(True).alias("kept"), "gid",
@@ -54,7 +55,7 @@ def _next_round(rows: DataFrame, width: int) -> DataFrame:
     groups = stage(
         keyed.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(first).alias("keep"))
         .select("gid", "digit", "n", "keep", F.monotonically_increasing_id().alias("new")), "radix-groups")
-    met = keyed.join(groups, ["gid", "digit"])
+    met = keyed.join(groups.hint("merge"), ["gid", "digit"])
     ended = F.length("digit") < width
     still = (F.col("n") > 1) & ~ended
     return met.select(
