@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, exactdedup, linedup, minhash, quality, urlfilter
+from shelfwise.llm import chat, decontaminate, exactdedup, linedup, minhash, pieces, pii, quality, urlfilter
 
+#: Place of the vocabulary; a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -155,3 +158,50 @@ FROM documents d LEFT JOIN rem USING (doc_id) LEFT JOIN kept USING (doc_id)
 @query
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query
+def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(_table(spark, folder, "documents"), PIECES)
+
+
+@query
+def op2_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    found = chat.preference_rows(turns, chat.with_stale_reply(turns, "pair_id"))
+    return found.select("pair_id", "n_prefix", "prompt", "chosen", "rejected",
+                        chat.spans_text("chosen_mask").alias("chosen_mask"),
+                        chat.spans_text("rejected_mask").alias("rejected_mask"))
+
+
+def _chat_side(side: str) -> str:
+    """SQL of one side's completion and mask."""
+    piece = f"'<|' || role || '|>' || chr(10) || {side} || '<|end|>' || chr(10)"
+    return f"""(SELECT pair_id, coalesce(string_agg(p, '' ORDER BY pos), '') AS body,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN (at + length(role) + 5) || '-' || (at + length(p) - 1) END,
+                            ',' ORDER BY pos), '') AS mask
+    FROM (SELECT *, coalesce(sum(length(p)) OVER (PARTITION BY pair_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING
+                 AND 1 PRECEDING), 0) AS at FROM (SELECT pair_id, pos, role, {piece} AS p FROM s WHERE pos > n))
+    GROUP BY pair_id)"""
+
+
+ORACLE["op2_preference_chat"] = f"""
+WITH t AS (SELECT conv_id AS pair_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos,
+                  role, replace(text, '<|', '< |') AS good FROM conversations),
+a AS (SELECT *, max(CASE WHEN role = 'assistant' THEN pos END) OVER (PARTITION BY pair_id) AS final,
+             row_number() OVER (PARTITION BY pair_id, role ORDER BY pos) AS k FROM t),
+b AS (SELECT a.*, CASE WHEN a.pos = a.final THEN coalesce(o.good, '') ELSE a.good END AS bad
+      FROM a LEFT JOIN a o ON o.pair_id = a.pair_id AND o.role = 'assistant' AND a.role = 'assistant' AND o.k = a.k - 1),
+s AS (SELECT b.*, coalesce(min(CASE WHEN good <> bad THEN pos END) OVER (PARTITION BY pair_id) - 1,
+                           max(pos) OVER (PARTITION BY pair_id)) AS n FROM b),
+p AS (SELECT pair_id, max(n) AS n_prefix, coalesce(string_agg(CASE WHEN pos <= n THEN '<|' || role || '|>' || chr(10)
+             || good || '<|end|>' || chr(10) END, '' ORDER BY pos), '') AS prompt FROM s GROUP BY 1)
+SELECT p.pair_id, n_prefix, prompt, coalesce(c.body, '') AS chosen, coalesce(r.body, '') AS rejected,
+       coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
+FROM p LEFT JOIN {_chat_side("good")} c USING (pair_id) LEFT JOIN {_chat_side("bad")} r USING (pair_id)
+"""
+
+
+@query
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
