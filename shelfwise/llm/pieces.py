@@ -94,8 +94,9 @@ class PieceTable:
             by_length.setdefault(len(text), []).append(text)
         self.probes = 1
         for texts in by_length.values():
-            for text, code in zip(texts, self._codes(self._points(texts)).tolist()):
-                slot, probes = self._slot(np.uint64(code)), 1
+            codes = self._codes(self._points(texts))
+            for text, code, slot in zip(texts, codes.tolist(), self._slot(codes).tolist()):
+                probes = 1
                 while self.ids[slot] >= 0:
                     slot, probes = (slot + 1) % (1 << self.BITS), probes + 1
                 self.codes[slot], self.ids[slot], self.scores[slot] = code, ids[text], scores[ids[text]]

@@ -178,10 +178,10 @@ def _chat_side(side: str) -> str:
     """SQL of one side's completion and mask."""
     piece = f"'<|' || role || '|>' || chr(10) || {side} || '<|end|>' || chr(10)"
     return f"""(SELECT pair_id, coalesce(string_agg(p, '' ORDER BY pos), '') AS body,
-        coalesce(string_agg(CASE WHEN role = 'assistant' THEN (at + length(role) + 5) || '-' || (at + length(p) - 1) END,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN (off + length(role) + 5) || '-' || (off + length(p) - 1) END,
                             ',' ORDER BY pos), '') AS mask
     FROM (SELECT *, coalesce(sum(length(p)) OVER (PARTITION BY pair_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING
-                 AND 1 PRECEDING), 0) AS at FROM (SELECT pair_id, pos, role, {piece} AS p FROM s WHERE pos > n))
+                 AND 1 PRECEDING), 0)::BIGINT AS off FROM (SELECT pair_id, pos, role, {piece} AS p FROM s WHERE pos > n))
     GROUP BY pair_id)"""
 
 
