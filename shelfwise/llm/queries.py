@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, exactdedup, linedup, minhash, pieces, pii, quality, urlfilter
+from shelfwise.llm import (
+    chat, decontaminate, exactdedup, licenses, linedup, minhash, pieces, pii, quality, urlfilter,
+)
 
 #: Place of the vocabulary; a parameter of the operator.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -205,3 +207,8 @@ FROM p LEFT JOIN {_chat_side("good")} c USING (pair_id) LEFT JOIN {_chat_side("b
 @query
 def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(_table(spark, folder, "documents"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_notices(_table(spark, folder, "documents"))
