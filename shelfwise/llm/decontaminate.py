@@ -16,10 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import texts, with_computed
+
 WINDOW = 10
 #: Bytes of item text whose tables a worker holds at a time.
 BLOCK_BYTES = 16_000_000
@@ -105,20 +107,19 @@ def _search_block(items: list[tuple[str, str]], size: int):
     """A pass over rows (row struct, text, spans, items) that adds what one block of items finds."""
     tables: list[WuManber] = []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def arrays(batch: pa.RecordBatch) -> list:
         if not tables:
             tables.extend(tables_of(items, size))
-        for batch in batches:
-            n_words, spans, ids = [], [], []
-            for text, old_spans, old_ids in zip(batch["text"], batch["spans"], batch["items"]):
-                words = words_of(text)
-                ranges, found = hits_in(words, tables)
-                n_words.append(len(words))
-                spans.append(merged([*map(tuple, old_spans), *map(tuple, ranges)]))
-                ids.append(sorted({*old_ids, *found}))
-            yield batch.assign(n_words=n_words, spans=spans, items=ids)
+        n_words, spans, ids = [], [], []
+        for text, old_spans, old_ids in zip(texts(batch), batch.column("spans"), batch.column("items")):
+            words = words_of(text)
+            ranges, found = hits_in(words, tables)
+            n_words.append(len(words))
+            spans.append(merged([*map(tuple, old_spans.as_py()), *map(tuple, ranges)]))
+            ids.append(sorted({*old_ids.as_py(), *found}))
+        return [n_words, spans, ids]
 
-    return run
+    return arrays
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
@@ -146,7 +147,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id
         F.struct("*").alias("row"), F.col(text).alias("text"), F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
     for block in item_blocks(benchmark, item_id, item_text, block_bytes):
-        found = found.mapInPandas(_search_block(block, size), found.schema)
+        found = with_computed(found, "n_words bigint, spans array<array<int>>, items array<string>",
+                              _search_block(block, size))
     return found.drop("text")
 
 

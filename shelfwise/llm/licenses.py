@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import texts, with_computed
+
 COVERAGE, DENSITY = 0.8, 0.5
 MAX_TEMPLATE_WORDS = 200_000
 
@@ -152,11 +153,12 @@ def matches_in(words: list[bytes], ready: list[Template], seeds: dict[bytes, lis
             done[number] = end
             found.append({"license": template.name, "start": begin + pairs[0][0], "end": end, "matched": len(pairs),
                           "coverage": len(pairs) / len(template.words)})
-    kept: list[dict] = []
+    kept: list[dict] = []  # by start; none overlaps another
     for one in sorted(found, key=lambda m: (-m["matched"], -m["coverage"], m["license"], m["start"])):
-        if all(one["end"] <= k["start"] or one["start"] >= k["end"] for k in kept):
-            kept.append(one)
-    return sorted(kept, key=lambda m: m["start"])
+        at = bisect_left(kept, one["start"], key=lambda m: m["start"])
+        if (at == 0 or kept[at - 1]["end"] <= one["start"]) and (at == len(kept) or one["end"] <= kept[at]["start"]):
+            kept.insert(at, one)
+    return kept
 
 
 def license_notices(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -172,13 +174,14 @@ def license_notices(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if sum(len(t.words) for t in ready) > MAX_TEMPLATE_WORDS:
         raise ValueError("templates go to every task; scan a larger set in several calls")
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            words = [words_of(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": list(map(len, words)),
-                                "notices": [matches_in(w, ready, seeds) for w in words]})
+    def arrays(batch: pa.RecordBatch) -> list:
+        n_words, notices = [], []
+        for one in texts(batch):
+            words = words_of(one)
+            n_words.append(len(words))
+            notices.append(matches_in(words, ready, seeds))
+        return [n_words, notices]
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(scan, f"doc_id {kind}, n_words bigint, notices array<struct<license:string,start:int,end:int,"
-                                  "matched:int,coverage:double>>")
+    return with_computed(rows, "n_words bigint, notices array<struct<license:string,start:int,end:int,matched:int,"
+                               "coverage:double>>", arrays, drop=["text"])

@@ -23,10 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import texts, with_computed
 from shelfwise.operators.components import connected_components
 from shelfwise.staging import drop_stage, stage
 
@@ -83,22 +85,17 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def _describe(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n, set_key, bands, sig = [], [], [], []
-            for text in batch["text"]:
-                hashes = shingles(text, size)
-                n.append(len(hashes))
-                if len(hashes):
-                    values = signature(hashes)
-                    set_key.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                    bands.append(band_keys(values).view(np.int64))
-                    sig.append((values & np.uint64(255)).astype(np.uint8).tobytes())
-                else:
-                    set_key.append(None), bands.append(None), sig.append(None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n": n,
-                                "set_key": set_key, "bands": bands, "sig": sig})
-    return run
+    def arrays(batch: pa.RecordBatch) -> list:
+        n, set_key, bands, sig = [], [], [], []
+        for text in texts(batch):
+            hashes = shingles(text, size)
+            n.append(len(hashes))
+            values = signature(hashes) if len(hashes) else None
+            set_key.append(None if values is None else xxhash.xxh3_128_digest(hashes.tobytes()))
+            bands.append(None if values is None else band_keys(values).view(np.int64))
+            sig.append(None if values is None else (values & np.uint64(255)).astype(np.uint8).tobytes())
+        return [n, set_key, bands, sig]
+    return arrays
 
 
 def _confirm(size: int, percent: int):
@@ -146,64 +143,82 @@ def _candidates(classes: DataFrame, percent: int, stars: int) -> DataFrame:
     return described.mapInPandas(_likely(percent), "u bigint, v bigint, times bigint")
 
 
-def _linked(edges: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    both = (edges.select("u", "v").join(texts.select(F.col("node").alias("u"), F.col("text").alias("u_text")), "u")
-            .join(texts.select(F.col("node").alias("v"), F.col("text").alias("v_text")), "v"))
+def _linked(edges: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    both = (edges.select("u", "v").join(bodies.select(F.col("node").alias("u"), F.col("text").alias("u_text")), "u")
+            .join(bodies.select(F.col("node").alias("v"), F.col("text").alias("v_text")), "v"))
     return both.mapInPandas(_confirm(size, percent), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                    percent: int = 80, stars: int = STARS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
+def _key(doc_id: str, text: str) -> F.Column:
+    """Non-null key of a document; rows without an id come last."""
+    return F.struct(F.col(doc_id).isNull().alias("nameless"), F.col(doc_id).alias("id"),
+                    F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"))
 
-    Two documents are linked when 100 * common >= percent * united over their
-    sets of ``size``-word shingles; ``component_id`` is the smallest doc_id
-    reachable over links. Null and empty texts have no shingles and are their
-    own component. Rows that repeat a doc_id are the same document and are kept
-    or not together; null ids are passed over when the smallest is taken, so
-    only a component without any id has a null one. Other columns are not read.
-    """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    described = stage(rows.mapInPandas(
-        _describe(size), f"doc_id {id_type}, text_hash bigint, n bigint, set_key binary, bands array<bigint>, sig binary"),
-        "minhash-rows")
+
+def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, stars: int) -> tuple[DataFrame, DataFrame]:
+    """(key, n, set_key) of every row, and (set_key, first): the first document of each set's component."""
+    rows = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text"))
+    described = stage(with_computed(rows, "n bigint, set_key binary, bands array<bigint>, sig binary", _describe(size),
+                                    drop=["text"]), "minhash-rows")
     classes = stage(
         described.where("n > 0").groupBy("set_key").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first"),
-            F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
-        .select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("first.doc_id").alias("doc_id"),
-                F.col("first.text_hash").alias("text_hash"), "n", "bands", "sig"), "minhash-classes")
+            F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"),
+            F.any_value("sig").alias("sig"))
+        .select(F.monotonically_increasing_id().alias("node"), "set_key", "key", "n", "bands", "sig"), "minhash-classes")
     edges = stage(_candidates(classes, percent, stars), "minhash-edges")
 
     asked = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
-    wanted = classes.select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")).join(asked, "node")
-    texts = stage(
-        rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
-        .groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
+    bodies = stage(rows.join(classes.select("node", "key").join(asked, "node"), "key")
+                  .groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
 
-    frequent = edges.select(F.col("u").alias("node"), "u", "v", "times").unionByName(
+    by_end = edges.select(F.col("u").alias("node"), "u", "v", "times").unionByName(
         edges.select(F.col("v").alias("node"), "u", "v", "times"))
-    best = frequent.groupBy("node").agg(F.max(F.struct("times", "u", "v")).alias("e")).select("e.u", "e.v").distinct()
-    links = stage(_linked(best, texts, size, percent), "minhash-links")
+    best = by_end.groupBy("node").agg(F.max(F.struct("times", "u", "v")).alias("e")).select("e.u", "e.v").distinct()
+    links = stage(_linked(best, bodies, size, percent), "minhash-links")
     group = stage(connected_components(classes.select("node"), links), "minhash-groups")
 
-    ends = edges.join(group.select(F.col("node").alias("u"), F.col("component").alias("u_c")), "u").join(
-        group.select(F.col("node").alias("v"), F.col("component").alias("v_c")), "v").where("u_c <> v_c")
-    untested = ends.join(best, ["u", "v"], "left_anti").select("u", "v", "u_c", "v_c")
-    more = stage(_linked(untested, texts, size, percent), "minhash-links")
-    drop_stage(texts)
-    joined = more.join(group.select(F.col("node").alias("u"), F.col("component").alias("u_c")), "u").join(
-        group.select(F.col("node").alias("v"), F.col("component").alias("v_c")), "v")
-    merged = connected_components(
-        group.select(F.col("component").alias("node")).distinct(),
-        joined.select(F.col("u_c").alias("u"), F.col("v_c").alias("v")))
+    def with_groups(pairs: DataFrame) -> DataFrame:
+        return pairs.join(group.select(F.col("node").alias("u"), F.col("component").alias("u_c")), "u").join(
+            group.select(F.col("node").alias("v"), F.col("component").alias("v_c")), "v")
+
+    untested = with_groups(edges).where("u_c <> v_c").join(best, ["u", "v"], "left_anti")
+    more = stage(_linked(untested, bodies, size, percent), "minhash-links")
+    drop_stage(bodies)
+    merged = connected_components(group.select(F.col("component").alias("node")).distinct(),
+                                  with_groups(more).select(F.col("u_c").alias("u"), F.col("v_c").alias("v")))
     final = group.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component")
 
-    named = classes.select("node", "set_key", "doc_id").join(final.select("node", "root"), "node")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.select("set_key", "root").join(least, "root").select("set_key", "component_id")
-    return described.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(by_set, "set_key", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = classes.select("node", "set_key", "key").join(final.select("node", "root"), "node")
+    first = named.groupBy("root").agg(F.min("key").alias("first"))
+    return described, named.select("set_key", "root").join(first, "root").select("set_key", "first")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
+                    percent: int = 80, stars: int = STARS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
+
+    Two documents are linked when 100 * common >= percent * united over their
+    sets of ``size``-word shingles; ``component_id`` is the smallest doc_id
+    reachable over links. Null and empty texts have no shingles and are their
+    own component. Rows that repeat a doc_id are the same document and are kept
+    or not together; null ids come last, so only a component without any id has
+    a null one. Other columns are not read.
+    """
+    described, by_set = components(docs, doc_id, text, size, percent, stars)
+    least = F.when(F.col("set_key").isNull(), F.col("key.id")).otherwise(F.col("first.id"))
+    return described.select("key", "n", "set_key").join(by_set, "set_key", "left").select(
+        F.col("key.id").alias("doc_id"), F.col("n").alias("n_shingles"), least.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
+                    percent: int = 80, stars: int = STARS) -> DataFrame:
+    """The first document of every component, with all its columns.
+
+    Documents without words stay. Rows that repeat both id and text are one
+    document, of which one row stays.
+    """
+    described, by_set = components(docs, doc_id, text, size, percent, stars)
+    stays = by_set.select(F.col("first").alias("key")).unionByName(described.where("n = 0").select("key")).distinct()
+    rows = docs.select(_key(doc_id, text).alias("key"), F.struct("*").alias("row"))
+    return rows.groupBy("key").agg(F.any_value("row").alias("row")).join(stays, "key", "left_semi").select("row.*")

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import texts, with_computed
 from shelfwise.staging import stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -164,28 +165,25 @@ def describe(text: str, kind: int, start: int, end: int) -> int:
     return code
 
 
-def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        spans = []
-        for text in batch["text"]:
-            own, base = [], base_spans(text)
-            if text:
-                strict = set(base)
-                taken = sorted((a, b) for _, a, b in base)
-                extra, at = [], 0
-                for kind, a, b in sorted(set(wide_spans(text)) - strict, key=lambda s: (s[1], s[0])):
-                    while at < len(taken) and taken[at][1] <= a:
-                        at += 1
-                    if not any(s < b and e > a for s, e in taken[at:at + 4]):
-                        extra.append((kind, a, b))
-                for kind, a, b in base + extra:
-                    code = 0
-                    for vote in votes(text, kind, a, b, (kind, a, b) in strict):
-                        code = code * 3 + vote
-                    own.append({"kind": kind, "start": a, "end": b, "base": (kind, a, b) in strict, "votes": code,
-                                "features": describe(text, kind, a, b)})
-            spans.append(own)
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": spans})
+def found_in(text: str | None) -> list[dict]:
+    """Base spans and the candidates that overlap none, with votes and features."""
+    base = base_spans(text)
+    if not text:
+        return []
+    strict, taken, extra, at = set(base), sorted((a, b) for _, a, b in base), [], 0
+    for kind, a, b in sorted(set(wide_spans(text)) - strict, key=lambda s: (s[1], s[0])):
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        if not any(s < b and e > a for s, e in taken[at:at + 4]):
+            extra.append((kind, a, b))
+    out = []
+    for kind, a, b in base + extra:
+        code = 0
+        for vote in votes(text, kind, a, b, (kind, a, b) in strict):
+            code = code * 3 + vote
+        out.append({"kind": kind, "start": a, "end": b, "base": (kind, a, b) in strict, "votes": code,
+                    "features": describe(text, kind, a, b)})
+    return out
 
 
 def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, float, np.ndarray]:
@@ -270,9 +268,9 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows are judged alike; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    found = stage(rows.mapInPandas(_find, f"doc_id {kind}, spans array<struct<kind:int,start:int,end:int,base:boolean,"
-                                          "votes:int,features:int>>"), "pii-spans")
+    found = stage(with_computed(
+        rows, "spans array<struct<kind:int,start:int,end:int,base:boolean,votes:int,features:int>>",
+        lambda batch: [[found_in(t) for t in texts(batch)]], drop=["text"]), "pii-spans")
     counted = found.select(F.explode("spans").alias("s")).groupBy("s.votes", "s.features").agg(F.count("*").alias("n"))
     accepted = accepted_codes(counted.toPandas())  # at most 3**5 votes by 24,000 features, in practice hundreds
     base = F.filter("spans", lambda s: s["base"])

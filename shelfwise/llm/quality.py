@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import texts, with_computed
+
 BITS = 18
 #: Labelled rows of each class that the fit reads.
 PER_CLASS = 4000
@@ -155,20 +157,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def _scorer(model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratios, weights, bias = model or (None, None, 0.0)
-        both = model and ratios * weights
-        squares = model and ratios * ratios
-        for batch in batches:
-            scores = []
-            for text in batch["text"]:
-                row = features(text)
-                margin = bias
-                if model and len(row):
-                    margin += both[row].sum(dtype=np.float64) / max(np.sqrt(squares[row].sum(dtype=np.float64)), 1e-9)
-                scores.append(1 / (1 + np.exp(-STEEPNESS * margin)))
-            yield batch.drop(columns="text").assign(score=scores)
-    return run
+    ratios, weights, bias = model or (None, None, 0.0)
+
+    def score(text: str | None) -> float:
+        row, margin = features(text), bias
+        if model and len(row):
+            r = ratios[row].astype(np.float64)
+            margin += (r @ weights[row]) / max(np.sqrt(r @ r), 1e-9)
+        return float(1 / (1 + np.exp(-STEEPNESS * margin)))
+
+    return lambda batch: [[score(t) for t in texts(batch)]]
 
 
 def scored(docs: DataFrame, model, carry: list[Column], text: str = "text") -> DataFrame:
@@ -177,9 +175,7 @@ def scored(docs: DataFrame, model, carry: list[Column], text: str = "text") -> D
     A text without words scores by the bias alone; without a model all scores
     are 0.5.
     """
-    rows = docs.select(*carry, F.col(text).alias("text"))
-    out = rows.drop("text").withColumn("score", F.lit(0.0)).schema
-    return rows.mapInPandas(_scorer(model), out)
+    return with_computed(docs.select(*carry, F.col(text).alias("text")), "score double", _scorer(model), drop=["text"])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
