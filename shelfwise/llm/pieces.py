@@ -268,7 +268,7 @@ class Segmenter:
 
     def chunks(self, text: str) -> list[str]:
         """Words with the spaces before them, and line ends; joined they are the text with a space in front."""
-        if "  " in text or SPACE in text:
+        if "  " in text or SPACE in text or text.startswith(" "):
             return _CHUNKS.findall(SPACE + text.replace(" ", SPACE))
         words = (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
         return [w for w in words if w] if "\n" in text else words

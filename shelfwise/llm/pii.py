@@ -127,13 +127,21 @@ def wide_spans(text: str) -> Iterator[tuple[int, int, int]]:
     yield from ((PHONE, *m.span()) for m in _WIDE_PHONE.finditer(text))
 
 
+def plausible(kind: int, span: str, digits: str) -> bool:
+    """Check digits, number ranges and lengths of the kind."""
+    if kind == IP:
+        return _octets(span)
+    if kind == CARD:
+        return luhn(digits)
+    return kind == EMAIL or 8 <= len(digits) <= 15 and len(set(digits)) > 2
+
+
 def votes(text: str, kind: int, start: int, end: int, strict: bool) -> list[int]:
     """One vote a labeler: strict pattern, check digits and ranges, gazetteer, context words, neighbours."""
     span, digits = text[start:end], _digits(text[start:end])
     words = _WORD.findall(text[max(0, start - 40):start].lower())[-4:]
     near = text[start - 1:start] + text[end:end + 1]
-    valid = {EMAIL: lambda: "." in span, IP: lambda: _octets(span), CARD: lambda: luhn(digits),
-             PHONE: lambda: 8 <= len(digits) <= 15 and len(set(digits)) > 2}[kind]()
+    valid = plausible(kind, span, digits)
     listed = {EMAIL: lambda: re.split(r"[^A-Za-z]+", span)[-1].lower() in DOMAINS_, IP: lambda: not span.startswith(RESERVED),
               CARD: lambda: digits.startswith(ISSUERS), PHONE: lambda: digits.startswith(CALLING)}[kind]()
     cue, denial = any(w in CUES for w in words), any(w in DENIALS for w in words)
@@ -158,7 +166,7 @@ def describe(text: str, kind: int, start: int, end: int) -> int:
     separator = 0 if span.isalnum() else 1 if " " in span else 2 if "-" in span else 3 if "." in span else 4
     values = [kind, min(7, len(digits) // 3), separator, side(text[start - 1:start]), side(text[end:end + 1]),
               1 if any(w in CUES for w in words) else 2 if any(w in DENIALS for w in words) else 0,
-              int(kind == EMAIL or luhn(digits) if kind != IP else _octets(span))]
+              int(plausible(kind, span, digits))]
     code = 0
     for value, (_, size) in zip(values, FEATURES):
         code = code * size + value
@@ -234,7 +242,7 @@ def train(codes: np.ndarray, targets: np.ndarray, counts: np.ndarray, penalty: f
 
 
 def accepted_codes(counted: pd.DataFrame) -> list[int]:
-    """Feature codes that the trained classifier takes for personal data.
+    """Feature codes that the trained classifier takes for personal data; implausible spans never are.
 
     ``counted``: votes, features and their number of spans n.
     """
@@ -250,7 +258,7 @@ def accepted_codes(counted: pd.DataFrame) -> list[int]:
     features, n = counted["features"].to_numpy(), counted["n"].to_numpy(dtype=float)
     weights = train(features, target, n)
     each = np.unique(features)
-    return [int(c) for c in each[_one_hot(each) @ weights >= 0]]
+    return [int(c) for c in each[(_one_hot(each) @ weights >= 0) & (each % 2 == 1)]]
 
 
 def _joined(spans: Column) -> Column:
@@ -275,7 +283,9 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     accepted = accepted_codes(counted.toPandas())  # at most 3**5 votes by 24,000 features, in practice hundreds
     base = F.filter("spans", lambda s: s["base"])
     final = F.filter("spans", lambda s: s["base"] | s["features"].isin(accepted)) if accepted else base
-    count = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{name}")
-             for k, name in enumerate(KINDS)]
-    return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(final).alias("spans"),
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint")
+
+    return found.select("doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(final).alias("spans"),
                         (F.size(final) - F.size(base)).cast("bigint").alias("n_added"))
