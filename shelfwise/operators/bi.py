@@ -144,10 +144,7 @@ def box_stats(df: DataFrame, key: str = "category", column: str = "price") -> Da
     """
     rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
     cells = rows.groupBy(key, column).agg(F.count("*").alias("_n"))
-    quartiles = cells.groupBy(key).agg(
-        *[F.percentile(column, p, F.col("_n")).alias(name)
-          for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
-    )
+    quartiles = grouped_quantiles(rows, [key], column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     inside = F.col(column).between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
     return cells.join(quartiles, key).groupBy(key, "q1", "median", "q3").agg(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import hashing, labels, parse
-from shelfwise.operators.stats import exact_quantiles, known, min_max, scalars
+from shelfwise.operators.stats import exact_quantiles, known, min_max, numbered, scalars
 
 CATEGORICAL = ["category", "platform", "shop_country"]
 
@@ -87,9 +87,10 @@ def impute_numeric(df: DataFrame) -> DataFrame:
 
 
 def availability_flag(value: Column) -> Column:
-    """1 or 0 from booleans, numbers or texts; anything else counts as available."""
-    text = F.lower(value.cast("string"))
-    return F.when(text.isin("false", "0", "0.0"), 0).otherwise(1)
+    """0 for a false boolean, the number zero or the text "False"; anything else counts as available."""
+    no = F.typeof(value) != "string"
+    text = value.cast("string")
+    return F.when((no & F.lower(text).isin("false", "0", "0.0")) | (text == "False"), 0).otherwise(1)
 
 
 def fill_categoricals(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
@@ -165,8 +166,8 @@ def engineer(df: DataFrame) -> DataFrame:
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """Code table of a column: distinct texts numbered from 0 in sorted order."""
     distinct = df.select(F.col(column).cast("string").alias(column)).distinct()
-    code = (F.dense_rank().over(Window.orderBy(column)) - 1).cast("int")
-    return distinct.where(F.col(column).isNotNull()).select(column, code.alias(f"{column}_enc"))
+    return numbered(distinct.where(F.col(column).isNotNull()), column, "_code").select(
+        column, F.col("_code").cast("int").alias(f"{column}_enc"))
 
 
 def encode_labels(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:

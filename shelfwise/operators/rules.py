@@ -116,10 +116,9 @@ def pair_counts(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     kept = rows.join(frequent.select("item"), "item", "left_semi")
     sets = kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
     merged = sets.where(F.size("items") >= 2).groupBy("items").agg(F.count("*").alias("n"))
-    later = F.transform("items", lambda a, i: F.transform(
-        F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("a"), b.alias("b"))))
-    pairs = merged.select("n", F.explode(F.flatten(later)).alias("p"))
-    return pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("n_pair"))
+    tails = merged.select("n", "items", F.posexplode("items").alias("at", "a"))
+    pairs = tails.select("n", "a", F.explode(F.expr("slice(items, at + 2, size(items))")).alias("b"))
+    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n_pair"))
 
 
 def pair_rules(
@@ -158,23 +157,24 @@ def frequent_itemsets(baskets: DataFrame, min_support: float) -> DataFrame:
     return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
 
 
-def itemset_rules(itemsets: DataFrame, n: int, min_lift: float = 1.0, max_size: int = 12) -> DataFrame:
+def itemset_rules(itemsets: DataFrame, n: int, min_lift: float = 1.0) -> DataFrame:
     """All rules of frequent itemsets, consequents of any size, by subset joins.
 
-    Every proper non-empty subset of an itemset is an antecedent. Sets larger
-    than ``max_size`` would have thousands of subsets each; they raise.
+    Every proper non-empty subset of an itemset is an antecedent; each of them
+    is a frequent itemset itself. Subsets are bit masks, unfolded in two halves,
+    so no row holds all masks of a wide itemset.
     """
     sets = stage(itemsets, "itemsets")
-    largest = sets.agg(F.max(F.size("items")).alias("m")).first()["m"] or 0
-    if largest > max_size:
-        raise ValueError(f"itemsets of {largest} items: raise min_support or max_size")
     wide = sets.where(F.size("items") >= 2)
-    # A subset is a bit mask over the itemset: 1 = antecedent, 0 = consequent.
-    masks = F.expr("explode(sequence(1, shiftleft(1, size(items)) - 2))").alias("mask")
-    sided = wide.select("items", F.col("freq").alias("n_all"), masks).select(
+    low = F.expr("explode(sequence(0L, shiftleft(1L, size(items) div 2) - 1))").alias("low")
+    high = F.expr("explode(sequence(0L, shiftleft(1L, size(items) - size(items) div 2) - 1))").alias("high")
+    masks = wide.select("items", F.col("freq").alias("n_all"), low).select("items", "n_all", "low", high).select(
+        "items", "n_all", F.expr("shiftleft(high, size(items) div 2) | low").alias("mask")).where(
+        "mask > 0 AND mask < shiftleft(1L, size(items)) - 1")
+    sided = masks.select(
         "n_all",
-        F.expr("filter(items, (x, i) -> (mask & shiftleft(1, i)) <> 0)").alias("ant"),
-        F.expr("filter(items, (x, i) -> (mask & shiftleft(1, i)) = 0)").alias("con"))
+        F.expr("filter(items, (x, i) -> (mask & shiftleft(1L, i)) <> 0)").alias("ant"),
+        F.expr("filter(items, (x, i) -> (mask & shiftleft(1L, i)) = 0)").alias("con"))
     a = sets.select(F.col("items").alias("ant"), F.col("freq").alias("n_ant"))
     c = sets.select(F.col("items").alias("con"), F.col("freq").alias("n_con"))
     support = F.col("n_all") / F.lit(n)
@@ -192,12 +192,17 @@ def fpgrowth_rules(baskets: DataFrame, min_support: float = 0.05, min_lift: floa
     return itemset_rules(frequent_itemsets(baskets, min_support), baskets.count(), min_lift)
 
 
-def one_hot_baskets(rows: DataFrame, items: list[str]) -> DataFrame:
-    """One boolean column per given item."""
-    flags = rows.groupBy("basket_id").agg(*[
-        F.max((F.col("item") == item).cast("int")).cast("boolean").alias(item) for item in items
-    ])
-    return flags
+def frequent_items(rows: DataFrame, min_support: float = 0.01) -> list[str]:
+    """Items of at least that support, sorted; at most average basket width / ``min_support`` of them."""
+    n = rows.select("basket_id").distinct().count()
+    return sorted(r["item"] for r in item_supports(rows, n, min_support).select("item").collect())
+
+
+def one_hot_baskets(rows: DataFrame, items: list[str] | None = None) -> DataFrame:
+    """One boolean column per item; the frequent items where none are given."""
+    rows = rows if items is not None else stage(rows, "basket_rows")
+    wanted = frequent_items(rows) if items is None else items
+    return rows.groupBy("basket_id").agg(*[F.bool_or(F.col("item") == item).alias(item) for item in wanted])
 
 
 def by_lift() -> list[Column]:
@@ -212,3 +217,8 @@ def mine_rules(df: DataFrame, min_support: float = 0.01, min_confidence: float =
     """Pair rules over all basket families of a catalogue."""
     baskets = stage(all_baskets(df), "baskets")
     return pair_rules(basket_rows(baskets), min_support, min_confidence, baskets.count())
+
+
+def mine_itemset_rules(df: DataFrame, min_support: float = 0.01, min_lift: float = 1.0) -> DataFrame:
+    """Rules between itemsets of any size over all basket families of a catalogue."""
+    return fpgrowth_rules(stage(all_baskets(df), "baskets"), min_support, min_lift)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import hashing
-from shelfwise.operators.stats import known, min_max, min_max_scaled, scalars
+from shelfwise.operators.stats import (
+    SLICES, even_slices, exact_quantiles, known, min_max, min_max_scaled, scalars,
+)
 
 # Weights of the composite score.
 WEIGHTS = {
@@ -83,24 +85,24 @@ def weighted_score(df: DataFrame, weights: dict[str, float] | None = None) -> Da
     return prepared.withColumn("score", F.round(total, 4)).select(*df.columns, "score")
 
 
-def rank_and_label(df: DataFrame, top_share: float = 0.2, weights: dict[str, float] | None = None) -> DataFrame:
+def rank_and_label(df: DataFrame, top_share: float = 0.2) -> DataFrame:
     """``score_rank`` (ties share the best rank) and the top-share label.
 
-    Scores have 4 decimals, so their histogram holds at most 10,000 times the
-    weight total entries whatever the catalogue's size. Ranks and the label
-    are computed there and looked up by score; no global window over rows.
+    Equal scores merge into a histogram; ranks are counted in slices of it and
+    looked up by score, so there is no global window over rows or scores.
     """
     histogram = df.where(F.col("score").isNotNull()).groupBy("score").agg(F.count("*").alias("_n"))
-    threshold = histogram.agg(F.percentile("score", 1 - top_share, F.col("_n")).alias("t"))
-    threshold = known(scalars(threshold)["t"])
-    higher = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = histogram.select(
-        F.col("score").alias("_score"),
-        (F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1).cast("int").alias("score_rank"),
+    threshold = known(scalars(exact_quantiles(df, {"t": ("score", 1 - top_share)}))["t"])
+    slot = even_slices(histogram, "score", SLICES)
+    sliced = histogram.withColumn("_s", slot)
+    higher_slices = Window.orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy("_s").agg(F.sum("_n").alias("_size")).select(  # one row a slice
+        "_s", F.coalesce(F.sum("_size").over(higher_slices), F.lit(0)).alias("_offset"))
+    higher = Window.partitionBy("_s").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = sliced.withColumn("_inside", F.coalesce(F.sum("_n").over(higher), F.lit(0))).join(offsets, "_s").select(
+        F.col("score").alias("_score"), (F.col("_offset") + F.col("_inside") + 1).cast("int").alias("score_rank"),
         (F.col("score") >= threshold).cast("int").alias("is_top_product"),
     )
-    if sum((weights or WEIGHTS).values()) <= 100:  # at most a million small rows
-        ranks = F.broadcast(ranks)
     keep = [c for c in df.columns if c not in ("score_rank", "is_top_product")]
     return df.join(ranks, df["score"] == ranks["_score"], "left").select(
         *[df[c] for c in keep], "score_rank", "is_top_product"
@@ -114,7 +116,7 @@ def compute_scores(
     if mode == "auto":
         mode = "weighted" if telemetry_flag(df).first()["has_telemetry"] else "fallback"
     scored = weighted_score(df, weights) if mode == "weighted" else fallback_score(df)
-    return rank_and_label(scored, weights=weights if mode == "weighted" else None)
+    return rank_and_label(scored)
 
 
 def best_first(key: str = "score") -> list[Column]:

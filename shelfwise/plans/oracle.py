@@ -290,7 +290,7 @@ ORACLE |= {
         CASE WHEN p > 100 THEN 500 WHEN p > 30 THEN 200 ELSE 50 END AS high
         FROM (SELECT product_id, price * 2 AS p FROM products))"""),
     "availability_flags": """SELECT availability, count(*) AS rows FROM (SELECT
-      CASE WHEN event_id % 6 IN (1, 2) THEN 0 ELSE 1 END::INTEGER AS availability FROM events) GROUP BY 1""",
+      CASE WHEN event_id % 6 = 1 THEN 0 ELSE 1 END::INTEGER AS availability FROM events) GROUP BY 1""",
     "features": f"""WITH {FEATURED} SELECT product_id, round(log_price, 9) AS log_price,
       round(popularity_score, 9) AS popularity_score, is_budget, is_premium, category_enc, platform_enc, shop_country_enc
       FROM featured""",
@@ -475,7 +475,8 @@ ORACLE |= {
       QUALIFY row_number() OVER (PARTITION BY title, price, platform ORDER BY seq DESC) = 1""",
     "union_in_order": products("""SELECT 0::INTEGER AS frame, key AS seq, product_id, platform FROM products
       WHERE platform = 'woocommerce'
-      UNION ALL SELECT 1, key, product_id, NULL FROM products WHERE platform = 'shopify'"""),
+      UNION ALL SELECT 1, key, product_id, NULL FROM products WHERE platform = 'shopify'
+      UNION ALL SELECT 2, key, product_id, platform FROM products WHERE platform = 'generic'"""),
     "distinct_titles": scored("SELECT DISTINCT brand, subcategory, title FROM scored"),
     "row_overlap": scored("""SELECT count(*) AS shared_rows FROM (
       SELECT title, category, floor(price / 5) FROM scored WHERE key % 2 = 0
@@ -554,11 +555,20 @@ rules AS (SELECT antecedents, consequents, round(support, 4) AS support, round(c
 {tail}"""
 
 
-ITEMSETS = order_items("p_type") + """,
-sets AS (SELECT [item] AS s, count(*) AS freq FROM items GROUP BY 1
-  UNION ALL SELECT [a.item, b.item], count(*) FROM items a JOIN items b ON a.basket_id = b.basket_id AND a.item < b.item GROUP BY 1
-  UNION ALL SELECT [a.item, b.item, c.item], count(*) FROM items a JOIN items b ON a.basket_id = b.basket_id AND a.item < b.item
-    JOIN items c ON b.basket_id = c.basket_id AND b.item < c.item GROUP BY 1),
+
+
+def _itemsets(widest: int) -> str:
+    """Counts of all item combinations up to the widest basket."""
+    def of(k: int) -> str:
+        joins = "".join(f" JOIN items i{j} ON i{j}.basket_id = i0.basket_id AND i{j - 1}.item < i{j}.item" for j in range(1, k))
+        return f"SELECT [{', '.join(f'i{j}.item' for j in range(k))}] AS s, count(*) AS freq FROM items i0{joins} GROUP BY 1"
+    return " UNION ALL ".join(of(k) for k in range(1, widest + 1))
+
+
+TYPES = "ECONOMY, LARGE, MEDIUM, PROMO, SMALL, STANDARD"
+# Six product types, so no basket is wider.
+ITEMSETS = order_items("p_type") + f""",
+sets AS ({_itemsets(6)}),
 total AS (SELECT count(DISTINCT basket_id) AS n FROM items)"""
 
 ORACLE |= {
@@ -579,16 +589,16 @@ ORACLE |= {
                      "max(support) AS max_support FROM rules"),
     "fpgrowth_itemsets": f"""WITH {ITEMSETS} SELECT array_to_string(s, '|') AS items, freq FROM sets, total
       WHERE freq >= 0.05 * n""",
-    "fpgrowth_rules": f"""WITH {ITEMSETS}, frequent AS (SELECT s, freq FROM sets, total WHERE freq >= ceil(0.2 * n)),
+    "fpgrowth_rules": f"""WITH {ITEMSETS}, frequent AS (SELECT s, freq FROM sets, total WHERE freq >= ceil(0.05 * n)),
       sided AS (SELECT z.freq AS n_all, a.s AS ant, a.freq AS n_ant, c.s AS con, c.freq AS n_con
         FROM frequent z JOIN frequent a ON len(a.s) < len(z.s) AND list_has_all(z.s, a.s)
         JOIN frequent c ON c.s = list_filter(z.s, lambda x: NOT list_contains(a.s, x)))
       SELECT array_to_string(ant, ', ') AS antecedents, array_to_string(con, ', ') AS consequents,
         round(n_all / n, 4) AS support, round(n_all / n_ant, 4) AS confidence,
         round((n_all / n_ant) / (n_con / n), 4) AS lift FROM sided, total WHERE (n_all / n_ant) / (n_con / n) >= 0.9""",
-    "one_hot_baskets": f"""WITH {order_items('p_type')} SELECT "ECONOMY", "PROMO", "LARGE", count(*) AS baskets FROM (
-      SELECT bool_or(item = 'ECONOMY') AS "ECONOMY", bool_or(item = 'PROMO') AS "PROMO", bool_or(item = 'LARGE') AS "LARGE"
-      FROM items GROUP BY basket_id) GROUP BY 1, 2, 3""",
+    "one_hot_baskets": f"""WITH {order_items('p_type')} SELECT {TYPES}, count(*) AS baskets FROM (
+      SELECT {', '.join(f"bool_or(item = '{t}') AS {t}" for t in TYPES.split(', '))}
+      FROM items GROUP BY basket_id) GROUP BY {TYPES}""",
     "catalogue_rules": f"""WITH {RELATED}, {chunk_items('products')}, {band_items('products')},
       items AS (SELECT * FROM related_items WHERE item IS NOT NULL UNION ALL SELECT * FROM chunk_items
         UNION ALL SELECT * FROM band_items), {pair_rules(0.001, 0.1)}""",

@@ -526,8 +526,8 @@ def history_keep_last(spark, folder):
 def union_in_order(spark, folder):
     rows = catalogue.products(spark, folder).select(
         F.col("product_id").cast("bigint").alias("seq"), "product_id", "platform")
-    parts = [rows.where(F.col("platform") == p) for p in ("woocommerce", "shopify")]
-    merged = dedup.union_in_order([parts[0], parts[1].drop("platform")])
+    parts = [rows.where(F.col("platform") == p) for p in ("woocommerce", "shopify", "generic")]
+    merged = dedup.union_in_order([parts[0], parts[1].drop("platform"), parts[2]])
     return merged.select("seq.*", "product_id", "platform").withColumnsRenamed({"_frame": "frame"})
 
 
@@ -605,18 +605,18 @@ def _type_baskets(spark, folder):
 @query
 def fpgrowth_itemsets(spark, folder):
     found = rules.frequent_itemsets(_type_baskets(spark, folder), 0.05)
-    return found.where(F.size("items") <= 3).select(F.array_join("items", "|").alias("items"), "freq")
+    return found.select(F.array_join("items", "|").alias("items"), "freq")
 
 
 @query
 def fpgrowth_rules(spark, folder):
-    return rules.fpgrowth_rules(_type_baskets(spark, folder), 0.2, 0.9)
+    return rules.fpgrowth_rules(_type_baskets(spark, folder), 0.05, 0.9)
 
 
 @query
 def one_hot_baskets(spark, folder):
-    hot = rules.one_hot_baskets(derived.order_items(spark, folder, "p_type"), ["ECONOMY", "PROMO", "LARGE"])
-    return hot.groupBy("ECONOMY", "PROMO", "LARGE").agg(F.count("*").alias("baskets"))
+    hot = rules.one_hot_baskets(derived.order_items(spark, folder, "p_type"))
+    return hot.groupBy(*[c for c in hot.columns if c != "basket_id"]).agg(F.count("*").alias("baskets"))
 
 
 @query

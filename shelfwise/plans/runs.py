@@ -68,7 +68,7 @@ def analyse(
 
     The label is attached before the split, by key.
     """
-    cleaned = stage(clean.clean(products), "cleaned")
+    cleaned = stage(clean.clean(stage(products, "products")), "cleaned")
     scored = stage(scoring.compute_scores(cleaned), "scored")
     featured = stage(clean.encode_labels(clean.engineer(scored)), "featured")
     matrix, names = clean.feature_matrix(featured)
@@ -88,7 +88,7 @@ def analyse(
     banded = scored.withColumn("price_band", labels.price_band(F.col("price")))
     if "related_products" not in banded.columns:
         banded = banded.withColumn("related_products", F.lit(None).cast("string"))
-    mined = stage(rules.mine_rules(banded), "rules")
+    mined = stage(rules.mine_itemset_rules(banded), "rules")
 
     outputs = {
         "df_clean": cleaned, "products_scored": scored, "top_k_products": scoring.select_top_k(scored, k),
@@ -101,8 +101,12 @@ def analyse(
         "pca_2d": projected, "association_rules": mined, "top_rules": rules.top_rules(mined, 20, 0.0),
     }
     if cross_validation:
+        folds = train.drop("is_test")
         outputs["cross_validation"] = classify.cv_summary(classify.cross_validate(
-            train.drop("is_test"), classify.random_forest(**(forest or {})), classify.balanced_weights))
+            folds, classify.random_forest(**(forest or {})), classify.balanced_weights)).withColumn(
+            "model", F.lit("random_forest")).unionByName(classify.cv_summary(classify.cross_validate(
+                folds, classify.boosted_trees(**(boosting or {})), classify.positive_weights)).withColumn(
+                "model", F.lit("boosted_trees")))
     outputs["summary"] = run_report(scored, k, names, metrics, cluster_metrics, mined)
     sinks.write_bundle(outputs, folder, generated_at)
     rf.write().overwrite().save(f"{folder}/models/random_forest")
