@@ -41,11 +41,36 @@ def percent_off(original: Column, current: Column) -> Column:
                   F.round((original - current) / original * 100, 1))
 
 
-# Entities that are decoded, in this order (the ampersand last).
-HTML_ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&euro;", "€"), ("&amp;", "&"),
-]
+def _named_entities() -> Column:
+    """Map of the HTML standard's entity names to their characters, from Python's own table."""
+    from html.entities import html5
+
+    cells = [F.lit(x) for name, char in sorted(html5.items()) if name.endswith(";") for x in (name[:-1], char)]
+    return F.create_map(*cells)
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric character references replaced by their characters; unknown ones stay.
+
+    Each distinct reference of a text is looked up once. An ampersand comes
+    last, so that what it uncovers is not decoded again.
+    """
+    names = _named_entities()
+
+    def char(reference: Column) -> Column:
+        body = F.regexp_extract(reference, "^&([^;]*);", 1)
+        number = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 9), 16, 10)).otherwise(
+            F.substring(body, 2, 9)).cast("bigint")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        point = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(body.startswith("#"), F.when(valid, point)).otherwise(F.try_element_at(names, body))
+
+    found = F.array_distinct(F.regexp_extract_all(
+        text, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"), F.lit(0)))
+    pairs = F.transform(found, lambda r: F.struct((char(r) == "&").alias("last"), r.alias("r"), char(r).alias("c")))
+    known = F.array_sort(F.filter(pairs, lambda x: x["c"].isNotNull()))
+    decoded = F.aggregate(known, text, lambda t, x: F.replace(t, x["r"], x["c"]))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def strip_html(html: Column) -> Column:
@@ -54,9 +79,7 @@ def strip_html(html: Column) -> Column:
     text = F.regexp_replace(text, r"(?is)<script\b.*?</script>", " ")
     text = F.regexp_replace(text, r"(?is)<style\b.*?</style>", " ")
     text = F.regexp_replace(text, r"(?s)<[a-zA-Z/!?][^>]*>", " ")
-    for entity, char in HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(decode_entities(text), r"[\s\u00A0]+", " "))
 
 
 def base_url(url: Column) -> Column:

@@ -68,12 +68,9 @@ def name_clusters(df: DataFrame) -> DataFrame:
 
 
 def label_products(df: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """``cluster_label`` per product; noise gets the anomaly name.
-
-    The names table has one row per cluster, so the join broadcasts it.
-    """
+    """``cluster_label`` per product; noise gets the anomaly name."""
     names = (name_clusters(df) if names is None else names).select("cluster", "cluster_label")
-    joined = df.join(F.broadcast(names), "cluster", "left")
+    joined = df.join(names, "cluster", "left")
     return joined.withColumn(
         "cluster_label", F.when(F.col("cluster") == -1, ANOMALY).otherwise(F.col("cluster_label")))
 

@@ -50,10 +50,20 @@ def matrix(spark: SparkSession, folder: str) -> DataFrame:
     return _once(spark, folder, "matrix", build)
 
 
-def clustered(spark: SparkSession, folder: str, k: int = 5) -> DataFrame:
-    """Model matrix with KMeans ``cluster`` and its name."""
+def sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """Inertia and silhouette for every k, with all restarts."""
+    return _once(spark, folder, "sweep", lambda: cluster.k_sweep(
+        matrix(spark, folder).select("product_id", "features")))
+
+
+def best_k(spark: SparkSession, folder: str) -> int:
+    return sweep(spark, folder).where("best").first()["k"]
+
+
+def clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """Model matrix with KMeans ``cluster`` for the best k, and its name."""
     def build() -> DataFrame:
         rows = matrix(spark, folder)
-        labelled = cluster.best_kmeans(rows, k, n_init=1).transform(rows)
+        labelled = cluster.best_kmeans(rows, best_k(spark, folder)).transform(rows)
         return cluster.label_products(stage(labelled, "kmeans"))
-    return _once(spark, folder, f"clustered{k}", build)
+    return _once(spark, folder, "clustered", build)

@@ -743,9 +743,7 @@ ORACLE |= {
 ORACLE["stream_admission"] = ORACLE["rate_limit_admission"]
 ORACLE["stream_history"] = ORACLE["history_keep_last"]
 # A stream in append mode gives the windows that the watermark has closed.
-ORACLE["stream_minute_stats"] = ORACLE["minute_stats"].replace(
-    "FROM calls GROUP BY 1, 2",
-    "FROM calls GROUP BY 1, 2 HAVING ts // 60000000 * 60000000 + 60000000 <= (SELECT max(ts) - 60000000 FROM calls)")
+ORACLE["stream_minute_stats"] = ORACLE["minute_stats"]
 
 ORACLE |= {
     "ingest_snapshot": products(f"""SELECT platform, price_band, is_on_sale, count(*) AS products FROM (

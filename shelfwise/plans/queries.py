@@ -825,6 +825,14 @@ def _forest(spark, folder):
     return _forests[key]
 
 
+def _boosted(spark, folder):
+    """Model and metrics of the boosted trees, fitted once per application."""
+    key = (spark.sparkContext.applicationId, folder, "boosted")
+    if key not in _forests:
+        _forests[key] = classify.train_and_evaluate(_split(spark, folder), "boosted_trees")
+    return _forests[key]
+
+
 @query
 def rf_metrics(spark, folder):
     return _forest(spark, folder)[2]
@@ -845,8 +853,7 @@ def rf_diagnostics(spark, folder):
 
 @query
 def gbt_metrics(spark, folder):
-    """Fewer rounds than the default 300: each one is a chain of short jobs."""
-    return classify.train_and_evaluate(_split(spark, folder), "boosted_trees", rounds=60)[1]
+    return _boosted(spark, folder)[1]
 
 
 @query
@@ -860,7 +867,7 @@ def rf_cross_validation(spark, folder):
 
 @query
 def kmeans_sweep(spark, folder):
-    return cluster.k_sweep(catalogue.matrix(spark, folder).select("product_id", "features"), k_max=6, n_init=2)
+    return catalogue.sweep(spark, folder)
 
 
 @query
@@ -889,7 +896,7 @@ def _grouping(spark, folder):
     if key not in _groupings:
         rows = catalogue.matrix(spark, folder).select(
             "product_id", "title", "price", "rating", "review_count", "discount_pct", "score", "features")
-        _groupings[key] = runs.cluster_all(rows, 5, n_init=2)
+        _groupings[key] = runs.cluster_all(rows, catalogue.best_k(spark, folder))
     return _groupings[key]
 
 
@@ -922,8 +929,8 @@ def ingest_snapshot(spark, folder):
 def run_report(spark, folder):
     mined = rules.pair_rules(derived.order_items(spark, folder, "p_type"), 0.05, 0.3)
     names = clean.feature_columns(catalogue.featured(spark, folder))
-    return runs.run_report(catalogue.scored(spark, folder), 50, names, _forest(spark, folder)[2],
-                           _grouping(spark, folder)[1], mined)
+    metrics = _forest(spark, folder)[2].unionByName(_boosted(spark, folder)[1])
+    return runs.run_report(catalogue.scored(spark, folder), 50, names, metrics, _grouping(spark, folder)[1], mined)
 
 
 @query
@@ -955,7 +962,9 @@ def _drain(rows: DataFrame) -> DataFrame:
 
 @query
 def stream_minute_stats(spark, folder):
-    done = _drain(call_stream.minute_stats(_event_stream(spark, folder)))
+    path = fresh_path(spark, "stream")
+    call_stream.keep_minute_stats(_event_stream(spark, folder), f"{path}/stats", f"{path}/state").awaitTermination()
+    done = call_stream.current_minute_stats(spark, f"{path}/stats")
     return done.select(F.unix_micros("window_start").alias("window_start"), "server", "calls", "blocked",
                        F.round("avg_latency_ms", 3).alias("avg_latency_ms"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +27,12 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.count("*").alias("n"),
         F.sum(stars).alias("stars"),
         F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("cents_off"),
-        # Distinct line numbers as a bit set (an order has at most 7 lines): one
-        # hash aggregation with map-side merging instead of a second shuffle.
-        F.bit_count(F.bit_or(F.expr("shiftleft(1L, l_linenumber)"))).alias("variant_count"),
         F.min("l_shipdate").alias("published_at"),
     )
+    # Distinct line numbers in two levels; both merge map-side.
+    variants = lineitem.select("l_partkey", "l_linenumber").distinct().groupBy("l_partkey").agg(
+        F.count("l_linenumber").alias("variant_count"))
+    sold = sold.join(variants, "l_partkey")
     suppliers = supplier.count()  # answered from the parquet footers
     shops = supplier.join(F.broadcast(nation), supplier["s_nationkey"] == nation["n_nationkey"], "left")
     key = F.col("p_partkey")
@@ -61,32 +64,47 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV snapshot under the declared schema; NA texts become null.
+    """CSV snapshots under the declared schema; NA texts become null.
 
-    Cells that do not parse stay null in their column and the raw line is kept
-    in ``_corrupt``. The header decides the column order, as files may lack
-    columns of the contract or carry extras; extras are read as text.
+    Files are grouped by their header line and each group is read under its
+    own, so files may order, lack or add columns; extras are read as text.
+    ``_corrupt`` holds, as JSON, the cells of a row that do not parse in their
+    column's type; those cells are null. Quoted line ends are allowed, which
+    makes a file one task: split large snapshots when writing them.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt"]])
-    raw = (
-        spark.read.schema(texts)
-        .option("header", True).option("multiLine", True).option("escape", '"')
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .csv(path)
-    )
+    frames = [_read_under_header(spark, files) for files in _files_by_header(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files of each header, in order of their first file. One row a file and one a header reach the driver."""
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value"),
+        F.monotonically_increasing_id().alias("n"))
+    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return [files for files in sorted(r["files"] for r in groups)]
+
+
+def _read_under_header(spark: SparkSession, files: list[str]) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    header = reader.csv(files[0]).columns
+    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(files)
     kinds = {f.name: f.dataType for f in schema.PRODUCT.fields}
-    columns = []
+    columns, failed = [], []
     for c in header:
         text = F.when(~F.col(c).isin(schema.NA_TOKENS), F.col(c))
         kind = kinds.get(c, T.StringType())
+        value = text
         if isinstance(kind, (T.LongType, T.IntegerType)):
             # "12.0" is a whole number once a column has held missing cells.
-            text = text.try_cast("double").try_cast(kind)
+            value = text.try_cast("double").try_cast(kind)
         elif not isinstance(kind, T.StringType):
-            text = text.try_cast(kind)
-        columns.append(text.alias(c))
-    return raw.select(*columns, "_corrupt")
+            value = text.try_cast(kind)
+        columns.append(value.alias(c))
+        failed.append(F.when(text.isNotNull() & value.isNull(), text).alias(c))
+    broken = F.to_json(F.struct(*failed))
+    return raw.select(*columns, F.when(broken != "{}", broken).alias("_corrupt"))
 
 
 def or_fallback(frame: DataFrame | None, fallback) -> DataFrame:

@@ -5,38 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Value lists of the demo catalogue.
-CATEGORIES = ["Electronics", "Sport", "Home", "Fashion", "Books", "Beauty", "Toys"]
-SHOPS = ["TechWorld", "FitShop", "BrightHome", "StyleHub", "BookNest"]
-COUNTRIES = ["USA", "UK", "FR", "DE", "CA"]
+from shelfwise.functions import hashing
+from shelfwise.operators.scoring import rank_and_label
+
+CATEGORIES = ["Audio", "Garden", "Kitchen", "Outdoor", "Stationery", "Lighting", "Pets"]
+SHOPS = ["Northwind Corner", "Green Barn", "Lantern Street", "Quill and Co", "Harbour Goods"]
+COUNTRIES = ["USA", "IT", "FR", "DE", "SE"]
 PLATFORMS = ["shopify", "woocommerce"]
 DISCOUNTS = [0.0, 0.0, 0.0, 10.0, 20.0, 30.0, 50.0]
+# Segment names.
 SEGMENTS = ["Premium", "Top rated", "Discount / Promo", "Niche / peu connu", "Mainstream"]
 
 
-def _choice(values: list, seed: int) -> Column:
-    slot = F.floor(F.rand(seed) * len(values)) + 1
-    return F.element_at(F.array(*map(F.lit, values)), slot.cast("int"))
+def _unit(salt: str, seed: int) -> Column:
+    return hashing.hash_unit(F.col("id"), f"{salt}{seed}")
+
+
+def _choice(values: list, salt: str, seed: int) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (hashing.hash_pick(F.col("id"), len(values), f"{salt}{seed}") + 1).cast("int"))
 
 
 def synthetic_products(spark: SparkSession, n: int = 300, seed: int = 42) -> DataFrame:
-    """``n`` products: lognormal price, uniform rating, value-list columns."""
-    price = F.least(F.lit(500.0), F.greatest(F.lit(2.0), F.exp(3.5 + 0.8 * F.randn(seed))))
+    """``n`` products: lognormal price, uniform rating, value-list columns, score, rank and top-share label.
+
+    Every draw is a hash of the id, so the values do not depend on partitions.
+    """
+    bell = F.sqrt(-2 * F.log(_unit("a", seed) * 0.999999 + 0.000001)) * F.cos(2 * F.pi() * _unit("b", seed))
+    price = F.least(F.lit(500.0), F.greatest(F.lit(2.0), F.exp(3.5 + 0.8 * bell)))
     base = spark.range(1, n + 1).select(
         F.col("id").cast("string").alias("product_id"),
         F.concat(F.lit("Product "), F.col("id").cast("string")).alias("title"),
-        _choice(CATEGORIES, seed + 1).alias("category"),
-        _choice(PLATFORMS, seed + 2).alias("platform"),
+        _choice(CATEGORIES, "category", seed).alias("category"),
+        _choice(PLATFORMS, "platform", seed).alias("platform"),
         F.round(price, 2).alias("price"),
-        _choice(DISCOUNTS, seed + 3).alias("discount_pct"),
-        F.round(2.5 + 2.5 * F.rand(seed + 4), 1).alias("rating"),
-        F.floor(F.rand(seed + 5) * 3000).alias("review_count"),
-        (F.rand(seed + 6) < 0.85).alias("availability"),
-        F.floor(F.rand(seed + 7) * 200).alias("stock_quantity"),
-        _choice(SHOPS, seed + 8).alias("shop_name"),
-        _choice(COUNTRIES, seed + 9).alias("shop_country"),
-        _choice(SEGMENTS, seed + 10).alias("cluster_label"),
-        F.floor(1 + 5 * F.rand(seed + 11)).cast("int").alias("variant_count"),
+        _choice(DISCOUNTS, "discount", seed).alias("discount_pct"),
+        F.round(2.5 + 2.5 * _unit("rating", seed), 1).alias("rating"),
+        F.floor(_unit("reviews", seed) * 3000).alias("review_count"),
+        (_unit("available", seed) < 0.85).alias("availability"),
+        F.floor(_unit("stock", seed) * 200).alias("stock_quantity"),
+        _choice(SHOPS, "shop", seed).alias("shop_name"),
+        _choice(COUNTRIES, "country", seed).alias("shop_country"),
+        _choice(SEGMENTS, "segment", seed).alias("cluster_label"),
+        F.floor(1 + 5 * _unit("variants", seed)).cast("int").alias("variant_count"),
     )
     score = (
         0.35 * (F.col("rating") - 2.5) / 2.5
@@ -47,9 +57,9 @@ def synthetic_products(spark: SparkSession, n: int = 300, seed: int = 42) -> Dat
         + 0.05 * F.col("stock_quantity") / 200
     )
     discounted = F.col("discount_pct") > 0
-    return base.select(
+    return rank_and_label(base.select(
         "*",
         F.when(discounted, F.round(F.col("price") * (1 - F.col("discount_pct") / 100), 2)).alias("price_promo"),
         F.when(discounted, F.col("price")).alias("price_old"),
         F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 4).alias("score"),
-    )
+    ))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,6 +31,26 @@ def minute_stats(log: DataFrame, late: str = "1 minute", width: str = "1 minute"
     )
 
 
+def keep_minute_stats(log: DataFrame, folder: str, state: str, late: str = "1 minute", width: str = "1 minute"):
+    """Start writing every changed window of each micro-batch to ``folder``; open windows come out too.
+
+    A batch writes to a folder of its own number, so a batch that runs again
+    after a failure replaces what it wrote before.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{folder}/{number:020d}")
+
+    return minute_stats(log, late, width).writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", state).trigger(availableNow=True).start()
+
+
+def current_minute_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest state of every (window, server)."""
+    rows = spark.read.parquet(f"{folder}/*")
+    latest = rows.groupBy("window_start", "server").agg(F.max_by(F.struct("calls", "blocked", "avg_latency_ms"), "batch").alias("s"))
+    return latest.select("window_start", "server", "s.*")
+
+
 def admit(
     calls: DataFrame,
     limits: dict[str, int] = RATE_LIMITS,
@@ -45,16 +66,17 @@ def admit(
     def judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         server = key[0]
         limit = limits.get(server, default)
-        recent = list(state.get[0]) if state.exists else []
-        calls_now = pd.concat(list(batches)).sort_values(["ts", "seq"])
+        recent = deque(state.get[0] if state.exists else ())
+        calls_now = pd.concat([b[["ts", "seq"]] for b in batches]).sort_values(["ts", "seq"])
         verdicts = []
-        for ts in calls_now["ts"]:
-            recent = [t for t in recent if t > ts - span]
+        for ts in calls_now["ts"].tolist():
+            while recent and recent[0] <= ts - span:
+                recent.popleft()
             admitted = len(recent) < limit
             if admitted:
-                recent.append(int(ts))
+                recent.append(ts)
             verdicts.append(admitted)
-        state.update((recent,))
+        state.update((list(recent),))
         yield pd.DataFrame({"seq": calls_now["seq"].to_numpy(), "server": server, "admitted": verdicts})
 
     return calls.select("seq", "ts", "server").groupBy("server").applyInPandasWithState(

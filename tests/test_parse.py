@@ -73,3 +73,17 @@ def test_routes_and_replies(spark):
         "get_top_products", "answer_question"]
     short, asked = apply(spark, enrich.stock_completion, ["hello", "really?"])
     assert short == "[Mock LLM] Processed: hello..." and asked.startswith("Based on the current data")
+
+
+def test_entities_are_those_of_the_standard(spark):
+    import html
+
+    texts = ["caf&eacute; &#8217;t &#233;&#xE9; &rsquo; &hellip;", "a &amp;lt; b &lt; &amp;amp;", "&unknown; & &;", "&#0; &#xD800;",
+             "&nbsp;x&nbsp;&euro;&copy;", "plain", "&NotEqualTilde; &Aacute;&aacute;", "&#38;lt; &lt;"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(
+        parse.decode_entities(F.col("t"))).collect()]
+    for text, new in zip(texts, got):
+        if "&#0;" in text:  # not characters: left as they are
+            assert new == text
+        else:
+            assert new == html.unescape(text)

@@ -16,8 +16,20 @@ def test_csv_na_tokens_and_types(spark, tmp_path):
         None, None, 4.5, None, False, None)
 
 
+def test_csv_files_with_other_columns_and_broken_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,price\nA,1.5\nB,oops\n")
+    (tmp_path / "b.csv").write_text("price,title,review_count\n2.5,C,3.0\n,D,many\n")
+    rows = {r.title: r for r in catalog.read_products_csv(spark, str(tmp_path)).collect()}
+    assert {t: (r.price, r.review_count, r._corrupt) for t, r in rows.items()} == {
+        "A": (1.5, None, None), "B": (None, None, '{"price":"oops"}'), "C": (2.5, 3, None),
+        "D": (None, None, '{"review_count":"many"}')}
+
+
 def test_synthetic_catalogue(spark):
     df = synthetic.synthetic_products(spark, 300)
+    assert {"score_rank", "is_top_product"} <= set(df.columns)
+    assert df.agg(F.sum("review_count")).first() == synthetic.synthetic_products(spark, 300).repartition(3).agg(
+        F.sum("review_count")).first()
     row = df.agg(F.count("*").alias("n"), F.min("price").alias("lo"), F.max("price").alias("hi"),
                  F.min("score").alias("s0"), F.max("score").alias("s1"), F.count_distinct("category").alias("c")).first()
     assert row.n == 300 and 2 <= row.lo and row.hi <= 500 and 0 <= row.s0 and row.s1 <= 1 and row.c == 7
@@ -30,12 +42,28 @@ def test_guards(spark):
 
 
 def test_selectors():
-    page = html.parse_html("<ul><li class='product x'><p>a<p>b</li><li class=product><b data-k='1'>c</b></ul><a rel='next nofollow'>n</a>")
-    assert len(html.select(page, "li.product")) == 2
-    assert html.first(page, ["h1, b"]).text() == "c"
-    assert html.first(page, ["ul b[data-k='1']"]) is not None and html.first(page, ["a b"]) is None
-    assert html.first(page, ["[class*='prod']"]).tag == "li"
-    assert html.first(page, ["a[rel='next']"]) is not None
+    page = html.Page("<ul><li class='product x'><p>a<p>b</li><li class=product><b data-k='1'>c</b></ul><a rel='next nofollow'>n</a>")
+    top = page.nodes[0]
+    assert len(page.select(top, "li.product")) == 2
+    assert page.text(page.first(top, ["h1, b"])) == "c"
+    assert page.first(top, ["ul b[data-k='1']"]) is not None and page.first(top, ["a b"]) is None
+    assert page.first(top, ["[class*='prod']"]).tag == "li"
+    assert page.first(top, ["a[rel='next']"]) is not None
+
+
+def test_deep_and_broken_pages_leave_the_others_alone(spark, monkeypatch):
+    card = "<div class='product-card'><h2><a href='/p/1'>One</a></h2><span class='price'>$5</span></div>"
+    deep = "<div>" * 100_000 + card * 2 + "</p>" * 100_000
+    pages = spark.createDataFrame([(1, "https://s.com/a", deep), (2, None, None), (3, "https://s.com/b", "<![" + card * 2),
+                                   (4, "https://s.com/c", card * 3)], "page_id long, url string, html string")
+    got = html.landed_items(pages).groupBy("page_id").count().collect()
+    assert {1: 2, 4: 3}.items() <= {r["page_id"]: r["count"] for r in got}.items()
+
+    def fail(*_):
+        raise AssertionError("unreadable")
+
+    monkeypatch.setattr(html, "page_items", fail)
+    assert html.items_or_error("x", "y", "generic") == [{"kind": "error", "error": "AssertionError: unreadable"}]
 
 
 def test_generic_cards_need_two_and_a_title(spark):
