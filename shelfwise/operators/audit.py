@@ -6,6 +6,7 @@ A call frame has ``seq`` (unique, in arrival order), ``ts`` in microseconds,
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -117,14 +118,14 @@ def _replay(span: int, columns: list[str]):
     over any number of batches.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, recent = None, []
+        current, recent = None, deque()
         for batch in batches:
             verdicts = []
             for server, phase, ts, limit in zip(batch["server"], batch["phase"], batch["ts"], batch["_limit"]):
                 if (server, phase) != current:
-                    current, recent = (server, phase), []
+                    current, recent = (server, phase), deque()
                 while recent and recent[0] <= ts - span:
-                    recent.pop(0)
+                    recent.popleft()
                 admitted = len(recent) < limit
                 if admitted:
                     recent.append(ts)

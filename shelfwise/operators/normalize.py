@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shelfwise import schema
 from shelfwise.functions import labels, parse
+from shelfwise.sources import html
 
 # Option names that carry colours and sizes.
 COLOR_WORDS = ["color", "colour", "couleur"]
@@ -192,6 +193,16 @@ def generic_products(items: DataFrame) -> DataFrame:
     )
 
 
+def woo_cards(cards: DataFrame, shop_country: str = "") -> DataFrame:
+    """Listing cards ``(base_url, title, price, url, image_url)`` of a WooCommerce theme."""
+    return to_product(
+        cards,
+        title=F.trim(_text(F.col("title"))), price=parse.money(F.col("price")),
+        url=F.col("url"), image_url=F.col("image_url"), platform=F.lit("woocommerce"),
+        shop_name=parse.full_host(_text(F.col("base_url"))), shop_country=F.lit(shop_country),
+    )
+
+
 # --- snapshot columns ----------------------------------------------------
 
 def with_discount(df: DataFrame) -> DataFrame:
@@ -226,6 +237,10 @@ NORMALIZERS = {
     "shopify": lambda pages: titled(shopify_products(shopify_items(pages))),
     "woocommerce": lambda pages: titled(woo_products(woo_items(pages))),
     "generic": lambda items: titled(generic_products(items)),
+    # Landed HTML pages (page_id, url, html) of each theme.
+    "shopify_pages": lambda pages: titled(shopify_cards(html.extract_items(pages, "shopify"))),
+    "woocommerce_pages": lambda pages: titled(woo_cards(html.extract_items(pages, "woocommerce"))),
+    "generic_pages": lambda pages: titled(generic_products(html.extract_items(pages, "generic"))),
 }
 
 

@@ -184,6 +184,9 @@ ORACLE |= {
     "next_page_links": products(f"""SELECT has_next, count(*) AS pages FROM (
       SELECT regexp_matches(html, '(?is){NEXT_LINK}') AS has_next FROM pages
       UNION ALL SELECT true FROM {LISTED}) GROUP BY 1"""),
+    "page_products": products("""SELECT platform, 'USD' AS currency, count(*) AS products, round(sum(price), 2) AS total,
+      count(*) AS listings, count(*) AS available
+      FROM (SELECT price FROM products), (VALUES ('shopify'), ('woocommerce'), ('generic')) AS t(platform) GROUP BY 1"""),
     "shopify_normalize": listed_cards(f"""product_id, trim(title) AS title,
       'Fine ' || title || ' & more' AS description, coalesce(category, '') AS category, subcategory, brand,
       'https://img/' || product_id AS image_url, CASE WHEN key % 2 = 0 THEN 'new, sale' ELSE 'old, blue' END AS tags,
@@ -759,3 +762,17 @@ ORACLE |= {
       substr('{REPLIES["profile"]}', 1, 200) || '...' AS client_profile,
       substr('{REPLIES["strategy"]}', 1, 200) || '...' AS marketing_strategy FROM clean"""),
 }
+
+# Pairwise distances and reachability: independent of cells and boxes.
+ORACLE["dbscan_labels"] = f"""WITH RECURSIVE {FEATURED},
+pts AS MATERIALIZED (SELECT product_id, {', '.join(f'{scaled(c)} AS f{i}' for i, c in enumerate(FEATURE_NAMES))} FROM featured),
+near AS MATERIALIZED (SELECT a.product_id AS u, b.product_id AS v FROM pts a JOIN pts b
+  ON {' + '.join(f'(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})' for i in range(len(FEATURE_NAMES)))} <= 0.3 * 0.3),
+core AS MATERIALIZED (SELECT u FROM near GROUP BY u HAVING count(*) >= 5),
+e AS MATERIALIZED (SELECT n.u, n.v FROM near n JOIN core a ON n.u = a.u JOIN core b ON n.v = b.u),
+reach AS (SELECT u, u AS v FROM core UNION SELECT r.u, e.v FROM reach r JOIN e ON r.v = e.u),
+group_of AS (SELECT u, min(v::BIGINT) AS first FROM reach GROUP BY u),
+named AS (SELECT u, dense_rank() OVER (ORDER BY first) - 1 AS label FROM group_of),
+found AS (SELECT n.u, min(label) AS label FROM near n JOIN named ON named.u = n.v GROUP BY n.u)
+SELECT product_id, coalesce(named.label, found.label, -1)::INTEGER AS dbscan_label
+FROM pts LEFT JOIN named ON named.u = product_id LEFT JOIN found ON found.u = product_id"""

@@ -147,6 +147,16 @@ def platform_union(spark, folder):
         F.count("discount_pct").alias("discounted"))
 
 
+@query
+def page_products(spark, folder):
+    """Landed HTML pages of all three themes as products."""
+    every = normalize.normalize({f"{theme}_pages": derived.listing_pages(spark, folder, theme)
+                                 for theme in ("shopify", "woocommerce", "generic")})
+    return every.groupBy("platform", "currency").agg(
+        F.count("*").alias("products"), F.round(F.sum("price"), 2).alias("total"),
+        F.count_distinct("title", "url").alias("listings"), F.count_if("availability").alias("available"))
+
+
 @query
 def woo_reviews(spark, folder):
     docs = table(spark, folder, "documents")
