@@ -7,8 +7,9 @@
 * A fingerprint's first occurrence comes from an aggregation that merges
   map-side; every other occurrence joins that one position, so a passage that
   a third of all documents share makes one pair a copy.
-* A match is extended line by line both ways. Context is read for the matched
-  documents only. Each deleted line has an equal, earlier line.
+* Matches on one diagonal are one run, and only its two ends are extended, line
+  by line. Context is read for the matched documents only. Each deleted line
+  has an equal, earlier line.
 * Windows run inside one document; joins on hot fingerprints are left to the
   adaptive skew split.
 """
@@ -62,30 +63,50 @@ def _agree(a: str, b: str) -> Column:
     return F.when(at > 0, at - 1).otherwise(F.least(F.size(a), F.size(b)))
 
 
+def _contexts(lines: DataFrame, ends: DataFrame) -> DataFrame:
+    """(doc, pos, left, near): hashes of the lines before or after a run's end, nearest first.
+
+    Lines and ends meet in one shuffle by document, which also serves the windows.
+    """
+    at = ends.select("doc", "pos", "left").unionByName(
+        ends.select(F.col("doc0").alias("doc"), F.col("pos0").alias("pos"), "left")).distinct()
+    met = lines.join(at.select("doc").distinct(), "doc", "left_semi").select(
+        "doc", "pos", F.xxhash64("h").alias("h"), F.lit(False).alias("left"), F.lit(False).alias("right")).unionByName(
+        at.select("doc", "pos", F.lit(None).cast("bigint").alias("h"), "left", (~F.col("left")).alias("right")))
+    rows = met.repartition("doc").groupBy("doc", "pos").agg(
+        F.max("h").alias("h"), F.max("left").alias("left"), F.max("right").alias("right"))
+    order = Window.partitionBy("doc").orderBy("pos")
+    around = rows.select("doc", "pos", "left", "right",
+                         F.collect_list("h").over(order.rowsBetween(-REACH, -1)).alias("before"),
+                         F.collect_list("h").over(order.rowsBetween(1, REACH)).alias("after")).where("left OR right")
+    sides = F.array(F.when(F.col("left"), F.struct(F.lit(True).alias("left"), F.reverse("before").alias("near"))),
+                    F.when(F.col("right"), F.struct(F.lit(False).alias("left"), F.col("after").alias("near"))))
+    return around.select("doc", "pos", F.explode(F.array_compact(sides)).alias("s")).select("doc", "pos", "s.*")
+
+
 def repeated_lines(lines: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
     """(doc, spans): ranges [first, last] of line positions that repeat an earlier run."""
     found = stage(fingerprints(lines, noise, guarantee), "winnow-fingerprints")
     firsts = found.groupBy("gram").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    pairs = stage(found.join(firsts.select("gram", "first"), "gram").where(F.struct("doc", "pos") != F.col("first"))
-                  .select("doc", "pos", "lines", F.col("first.doc").alias("doc0"), F.col("first.pos").alias("pos0")),
-                  "winnow-pairs")
-
-    at = pairs.select("doc", "pos", "lines").unionByName(
-        pairs.select(F.col("doc0").alias("doc"), F.col("pos0").alias("pos"), "lines")).distinct()
-    order = Window.partitionBy("doc").orderBy("pos")
-    widest = noise * WORD + REACH  # a gram has at most noise * WORD lines, all blank
-    around = lines.join(at.select("doc").distinct(), "doc", "left_semi").select(
-        "doc", "pos", F.collect_list("h").over(order.rowsBetween(-REACH, -1)).alias("left"),
-        F.collect_list("h").over(order.rowsBetween(1, widest)).alias("right"))
-    context = stage(around.join(at, ["doc", "pos"]).select(
-        "doc", "pos", F.reverse("left").alias("left"),
-        F.expr(f"slice(right, lines, {REACH})").alias("right")), "winnow-context")
-
-    met = (pairs.join(context, ["doc", "pos"])
-           .join(context.select(F.col("doc").alias("doc0"), F.col("pos").alias("pos0"), F.col("left").alias("left0"),
-                                F.col("right").alias("right0")), ["doc0", "pos0"]))
-    spans = met.select("doc", (F.col("pos") - _agree("left", "left0")).alias("a"),
-                       (F.col("pos") + F.col("lines") - 1 + _agree("right", "right0")).alias("b")).distinct()
+    pairs = (found.join(firsts.select("gram", "first"), "gram").where(F.struct("doc", "pos") != F.col("first"))
+             .select("doc", "pos", "lines", F.col("first.doc").alias("doc0"), (F.col("pos") - F.col("first.pos")).alias("shift")))
+    diagonal = Window.partitionBy("doc", "doc0", "shift").orderBy("pos")
+    until = F.max(F.col("pos") + F.col("lines")).over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
+    runs = stage(
+        pairs.withColumn("new", F.when(F.col("pos") <= until, 0).otherwise(1)).withColumn("run", F.sum("new").over(diagonal))
+        .groupBy("doc", "doc0", "shift", "run").agg(F.min("pos").alias("a"), (F.max(F.col("pos") + F.col("lines")) - 1).alias("b"))
+        .drop("run"), "winnow-runs")
+
+    ends = stage(runs.select("doc", F.col("a").alias("pos"), F.lit(True).alias("left"), "doc0", (F.col("a") - F.col("shift")).alias("pos0"))
+                 .unionByName(runs.select("doc", F.col("b").alias("pos"), F.lit(False).alias("left"), "doc0",
+                                          (F.col("b") - F.col("shift")).alias("pos0"))), "winnow-ends")
+    context = stage(_contexts(lines, ends), "winnow-context")
+    met = ends.join(context, ["doc", "pos", "left"]).join(
+        context.select(F.col("doc").alias("doc0"), F.col("pos").alias("pos0"), "left", F.col("near").alias("near0")),
+        ["doc0", "pos0", "left"]).select("doc", "pos", "left", _agree("near", "near0").alias("n"))
+    spans = runs.select("doc", "a", "b").unionByName(met.select(
+        "doc", F.when(F.col("left"), F.col("pos") - F.col("n")).otherwise(F.col("pos")).alias("a"),
+        F.when(F.col("left"), F.col("pos")).otherwise(F.col("pos") + F.col("n")).alias("b"))).distinct()
     by_start = Window.partitionBy("doc").orderBy("a", "b")
     reached = F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.select("doc", "a", "b", F.when(F.col("a") <= reached + 1, 0).otherwise(1).alias("new")).select(
