@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from shelfwise import schema
 from shelfwise.operators import normalize
 
