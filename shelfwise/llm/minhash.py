@@ -7,13 +7,14 @@ value. Bands of bins are bucket keys.
 
 * Documents with equal shingle sets become one class first, merged map-side,
   so a group of copies that holds a third of all rows is one node.
-* A bucket gives star edges only: every member to a few centres that a hash
+* A bucket gives star edges only: every member to one centre that a hash
   chooses anew in each bucket. So candidates grow with the rows, and a member
   meets different centres in the bands that it shares with others.
-* The signature drops a pair only when its estimate is six standard
+* The signature drops a pair only when its estimate is five standard
   deviations below the threshold; every link is confirmed on full shingle sets.
-* Each document is first checked against its most frequent centre. The rest is
-  checked only where the two ends are not yet connected.
+* Each document is first checked against its most frequent centre in a quarter
+  of the bands. From then on only pairs of different groups are candidates:
+  stars with centres drawn anew run over all buckets until a round finds no link.
 * Texts move once to be cut to the candidates; every step is a written table.
 """
 
@@ -22,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,7 +32,11 @@ from shelfwise.llm.batches import texts, with_computed
 from shelfwise.operators.components import connected_components
 from shelfwise.staging import drop_stage, stage
 
-BINS, ROWS_PER_BAND, STARS = 128, 4, 3
+BINS, ROWS_PER_BAND = 128, 4
+#: Bands of the first round, which connects most groups.
+FIRST_BANDS = 8
+#: Centres that the second round draws in each bucket; every further round draws twice as many, up to the last number.
+DRAWS, MOST_DRAWS = 2, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PROBES = np.random.default_rng(11).integers(0, BINS, (BINS, 4096), dtype=np.int64)
@@ -99,54 +103,66 @@ def _describe(size: int):
 
 
 def _confirm(size: int, percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Keeps the pairs that are linked on their whole sets; texts are read one by one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for a, b in zip(batch["u_text"], batch["v_text"]):
+            for a, b in zip(texts(batch, "u_text"), texts(batch, "v_text")):
                 left, right = shingles(a, size), shingles(b, size)
                 common = len(np.intersect1d(left, right, assume_unique=True))
                 linked.append(100 * common >= percent * (len(left) + len(right) - common))
-            yield batch.loc[linked, ["u", "v"]]
+            yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
     return run
 
 
 def _likely(percent: int):
-    """Keeps pairs whose signatures agree as a pair at the threshold would, within six standard deviations."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Keeps rows whose signatures agree as a pair at the threshold would, within five standard deviations."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         goal = percent / 100
         for batch in batches:
-            if not len(batch):
-                continue
-            left = np.frombuffer(b"".join(batch["u_sig"]), np.uint8).reshape(-1, BINS)
-            right = np.frombuffer(b"".join(batch["v_sig"]), np.uint8).reshape(-1, BINS)
-            drawn = np.minimum(BINS, np.minimum(batch["u_n"], batch["v_n"]).to_numpy())
-            least = goal - 6 * np.sqrt(goal * (1 - goal) / drawn)
-            yield batch.loc[(left == right).mean(axis=1) >= least, ["u", "v", "times"]]
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+                           for c in ("sig", "c_sig"))
+            drawn = np.minimum(BINS, np.minimum(*(batch.column(c).to_numpy() for c in ("n", "c_n"))))
+            least = goal - 5 * np.sqrt(goal * (1 - goal) / drawn)
+            yield batch.select(["node", "centre"]).filter(pa.array((left == right).mean(axis=1) >= least))
     return run
 
 
-def _candidates(classes: DataFrame, percent: int, stars: int) -> DataFrame:
-    """(u, v, times): star edges of all buckets whose set sizes and signatures allow the threshold."""
-    members = classes.select("node", F.explode("bands").alias("bucket"))
-    centres = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(s)).alias("h"), "node")).alias(f"c{s}")
-               for s in range(stars)]
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), *centres).where("n > 1").select(
-        "bucket", F.array_distinct(F.array(*[f"c{s}.node" for s in range(stars)])).alias("centres"))
-    pairs = (members.join(shared, "bucket").select("node", F.explode("centres").alias("centre"))
-             .where("node <> centre")
-             .groupBy(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"))
-             .agg(F.count("*").alias("times")))
-    ends = classes.select("node", "n", "sig")
-    described = (pairs.join(ends.select(F.col("node").alias("u"), F.col("n").alias("u_n"), F.col("sig").alias("u_sig")), "u")
-                 .join(ends.select(F.col("node").alias("v"), F.col("n").alias("v_n"), F.col("sig").alias("v_sig")), "v")
-                 .where(F.least("u_n", "v_n") * 100 >= F.greatest("u_n", "v_n") * percent))
-    return described.mapInPandas(_likely(percent), "u bigint, v bigint, times bigint")
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(u, v, times) of star rows (node, n, sig, centre, c_n, c_sig) whose set sizes and signatures allow the threshold."""
+    sized = rows.where(F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent)
+    likely = sized.select("node", "n", "sig", "centre", "c_n", "c_sig").mapInArrow(_likely(percent), "node bigint, centre bigint")
+    return likely.groupBy(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).agg(
+        F.count("*").alias("times"))
+
+
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """One star a bucket: every member with the bucket's centre."""
+    centre = members.groupBy("bucket").agg(
+        F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "n", "sig")).alias("c")).select(
+        "bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.sig").alias("c_sig"))
+    return _pairs(members.join(centre, "bucket").where("node <> centre"), percent)
+
+
+def _stars_across(members: DataFrame, group: DataFrame, salts: list[int], percent: int) -> DataFrame:
+    """A star a bucket and salt: every member with the centre of the draw, if they are of different groups."""
+    placed = members.join(group, "node")
+    draws = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(s)).alias("h"), "node", "component", "n", "sig")).alias(f"c{s}")
+             for s in salts]
+    centres = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), *draws).where("low <> high").select(
+        "bucket", F.explode(F.array_distinct(F.array(*[F.struct(
+            F.col(f"c{s}.node").alias("centre"), F.col(f"c{s}.component").alias("own"), F.col(f"c{s}.n").alias("c_n"),
+            F.col(f"c{s}.sig").alias("c_sig")) for s in salts]))).alias("c")).select("bucket", "c.*")
+    return _pairs(placed.join(centres, "bucket").where("component <> own"), percent)
 
 
 def _linked(edges: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
-    both = (edges.select("u", "v").join(bodies.select(F.col("node").alias("u"), F.col("text").alias("u_text")), "u")
-            .join(bodies.select(F.col("node").alias("v"), F.col("text").alias("v_text")), "v"))
-    return both.mapInPandas(_confirm(size, percent), "u bigint, v bigint")
+    both = (edges.select("u", "v").join(
+        bodies.select(F.col("node").alias("u"), F.col("text").alias("u_text")).hint("merge"), "u")
+            .join(
+            bodies.select(F.col("node").alias("v"), F.col("text").alias("v_text")).hint("merge"), "v"))
+    return both.mapInArrow(_confirm(size, percent), "u bigint, v bigint")
 
 
 def _key(doc_id: str, text: str) -> F.Column:
@@ -155,7 +171,20 @@ def _key(doc_id: str, text: str) -> F.Column:
                     F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"))
 
 
-def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, stars: int) -> tuple[DataFrame, DataFrame]:
+def _with_groups(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    return pairs.join(group.select(F.col("node").alias("u"), F.col("component").alias("u_c")), "u").join(
+        group.select(F.col("node").alias("v"), F.col("component").alias("v_c")), "v")
+
+
+def _merged(group: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups after more links."""
+    edges = _with_groups(links, group).select(F.col("u_c").alias("u"), F.col("v_c").alias("v")).distinct()
+    ends = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
+    roots = connected_components(ends, edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return group.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
+def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(key, n, set_key) of every row, and (set_key, first): the first document of each set's component."""
     rows = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     described = stage(with_computed(rows, "n bigint, set_key binary, bands array<bigint>, sig binary", _describe(size),
@@ -165,28 +194,33 @@ def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int,
             F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"),
             F.any_value("sig").alias("sig"))
         .select(F.monotonically_increasing_id().alias("node"), "set_key", "key", "n", "bands", "sig"), "minhash-classes")
-    edges = stage(_candidates(classes, percent, stars), "minhash-edges")
-
-    asked = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
-    bodies = stage(rows.join(classes.select("node", "key").join(asked, "node"), "key")
-                  .groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
-
-    by_end = edges.select(F.col("u").alias("node"), "u", "v", "times").unionByName(
-        edges.select(F.col("v").alias("node"), "u", "v", "times"))
-    best = by_end.groupBy("node").agg(F.max(F.struct("times", "u", "v")).alias("e")).select("e.u", "e.v").distinct()
-    links = stage(_linked(best, bodies, size, percent), "minhash-links")
-    group = stage(connected_components(classes.select("node"), links), "minhash-groups")
-
-    def with_groups(pairs: DataFrame) -> DataFrame:
-        return pairs.join(group.select(F.col("node").alias("u"), F.col("component").alias("u_c")), "u").join(
-            group.select(F.col("node").alias("v"), F.col("component").alias("v_c")), "v")
-
-    untested = with_groups(edges).where("u_c <> v_c").join(best, ["u", "v"], "left_anti")
-    more = stage(_linked(untested, bodies, size, percent), "minhash-links")
+    members = classes.select("node", "n", "sig", F.posexplode("bands").alias("band", "bucket"))
+    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
+    members = stage(members.join(shared.hint("merge"), "bucket"), "minhash-buckets")
+    nodes = stage(members.select("node").distinct(), "minhash-nodes")
+    bodies = stage(rows.join(classes.select("node", "key").join(nodes, "node").hint("merge"), "key")
+                   .groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
+
+    edges = _stars(members.where(F.col("band") < FIRST_BANDS), percent)
+    by_end = edges.select("u", "v", "times", F.explode(F.array("u", "v")).alias("node"))
+    tested = stage(by_end.groupBy("node").agg(F.max(F.struct("times", "u", "v")).alias("e")).select("e.u", "e.v").distinct(),
+                   "minhash-tested")
+    links = stage(_linked(tested, bodies, size, percent), "minhash-links")
+    group = stage(connected_components(nodes, links), "minhash-groups")
+    salt, draws = 1, DRAWS
+    while True:
+        across = _stars_across(members, group, list(range(salt, salt + draws)), percent)
+        todo = stage(across.join(tested, ["u", "v"], "left_anti").select("u", "v"), "minhash-tested")
+        links = stage(_linked(todo, bodies, size, percent), "minhash-links")
+        if links.isEmpty():
+            break
+        was, group = group, stage(_merged(group, links), "minhash-groups")
+        drop_stage(was)
+        drop_stage(links)
+        tested, salt, draws = tested.unionByName(todo), salt + draws, min(2 * draws, MOST_DRAWS)
     drop_stage(bodies)
-    merged = connected_components(group.select(F.col("component").alias("node")).distinct(),
-                                  with_groups(more).select(F.col("u_c").alias("u"), F.col("v_c").alias("v")))
-    final = group.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component")
+    drop_stage(members)
+    final = classes.select("node").join(group, "node", "left").select("node", F.coalesce("component", "node").alias("root"))
 
     named = classes.select("node", "set_key", "key").join(final.select("node", "root"), "node")
     first = named.groupBy("root").agg(F.min("key").alias("first"))
@@ -194,7 +228,7 @@ def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int,
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                    percent: int = 80, stars: int = STARS) -> DataFrame:
+                    percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
     Two documents are linked when 100 * common >= percent * united over their
@@ -204,7 +238,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     or not together; null ids come last, so only a component without any id has
     a null one. Other columns are not read.
     """
-    described, by_set = components(docs, doc_id, text, size, percent, stars)
+    described, by_set = components(docs, doc_id, text, size, percent)
     least = F.when(F.col("set_key").isNull(), F.col("key.id")).otherwise(F.col("first.id"))
     return described.select("key", "n", "set_key").join(by_set, "set_key", "left").select(
         F.col("key.id").alias("doc_id"), F.col("n").alias("n_shingles"), least.alias("component_id")).withColumn(
@@ -212,13 +246,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                    percent: int = 80, stars: int = STARS) -> DataFrame:
+                    percent: int = 80) -> DataFrame:
     """The first document of every component, with all its columns.
 
     Documents without words stay. Rows that repeat both id and text are one
     document, of which one row stays.
     """
-    described, by_set = components(docs, doc_id, text, size, percent, stars)
+    described, by_set = components(docs, doc_id, text, size, percent)
     stays = by_set.select(F.col("first").alias("key")).unionByName(described.where("n = 0").select("key")).distinct()
     rows = docs.select(_key(doc_id, text).alias("key"), F.struct("*").alias("row"))
     return rows.groupBy("key").agg(F.any_value("row").alias("row")).join(stays, "key", "left_semi").select("row.*")

@@ -79,7 +79,7 @@ def test_signatures_estimate_similarity_and_bands_meet():
         left, right = minhash.signature(a), minhash.signature(b)
         met += bool((minhash.band_keys(left) == minhash.band_keys(right)).any())
         share = len(b) / len(a)
-        assert (left == right).mean() >= share - 6 * np.sqrt(0.16 / min(minhash.BINS, n))
+        assert (left == right).mean() >= share - 5 * np.sqrt(0.16 / min(minhash.BINS, n))
     assert met == 100
 
 
