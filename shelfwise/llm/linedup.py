@@ -94,12 +94,14 @@ def repeated_lines(lines: DataFrame, noise: int = NOISE, guarantee: int = GUARAN
     until = F.max(F.col("pos") + F.col("lines")).over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
     runs = stage(
         pairs.withColumn("new", F.when(F.col("pos") <= until, 0).otherwise(1)).withColumn("run", F.sum("new").over(diagonal))
-        .groupBy("doc", "doc0", "shift", "run").agg(F.min("pos").alias("a"), (F.max(F.col("pos") + F.col("lines")) - 1).alias("b"))
-        .drop("run"), "winnow-runs")
+        .groupBy("doc", "doc0", "shift", "run").agg(
+            F.min("pos").alias("a"), (F.max(F.col("pos") + F.col("lines")) - 1).alias("b")).drop("run"), "winnow-runs")
 
-    ends = stage(runs.select("doc", F.col("a").alias("pos"), F.lit(True).alias("left"), "doc0", (F.col("a") - F.col("shift")).alias("pos0"))
-                 .unionByName(runs.select("doc", F.col("b").alias("pos"), F.lit(False).alias("left"), "doc0",
-                                          (F.col("b") - F.col("shift")).alias("pos0"))), "winnow-ends")
+    def ends_of(side: str, left: bool) -> DataFrame:
+        return runs.select("doc", F.col(side).alias("pos"), F.lit(left).alias("left"), "doc0",
+                           (F.col(side) - F.col("shift")).alias("pos0"))
+
+    ends = stage(ends_of("a", True).unionByName(ends_of("b", False)), "winnow-ends")
     context = stage(_contexts(lines, ends), "winnow-context")
     met = ends.join(context, ["doc", "pos", "left"]).join(
         context.select(F.col("doc").alias("doc0"), F.col("pos").alias("pos0"), "left", F.col("near").alias("near0")),
@@ -147,7 +149,8 @@ def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
         F.col(f"row.{doc_id}").alias("doc_id"),
         F.coalesce(F.size(F.split(f"row.{text}", "\n")), F.lit(0)).cast("bigint").alias("n_lines"),
         F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"] + 1).alias("n_removed"),
-        F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["a"].cast("string"), s["b"].cast("string"))), ",").alias("removed"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["a"].cast("string"), s["b"].cast("string"))),
+                     ",").alias("removed"),
         F.sha2("new_text", 256).alias("text_sha256"))
 
 

@@ -287,5 +287,6 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     def count(kind: int) -> Column:
         return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint")
 
-    return found.select("doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(final).alias("spans"),
+    return found.select("doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(final).alias("spans"),
                         (F.size(final) - F.size(base)).cast("bigint").alias("n_added"))
