@@ -14,7 +14,12 @@ value. Bands of bins are bucket keys.
   deviations below the threshold; every link is confirmed on full shingle sets.
 * Each document is first checked against its most frequent centre in a quarter
   of the bands. From then on only pairs of different groups are candidates:
-  stars with centres drawn anew run over all buckets until a round finds no link.
+  stars with centres drawn anew run over all buckets while a round finds many links.
+* What is left in buckets of several groups is joined exactly. A node becomes its
+  difference to the bucket's centre. By the triangle inequality two linked nodes
+  of which one is not linked to the centre share a part of their differences, so
+  a prefix filter over the rarest elements finds them also in a family whose
+  shingles are common to all. Any fixed order will do, so rarity is a sketch.
 * Texts move once to be cut to the candidates; every step is a written table.
 """
 
@@ -37,6 +42,10 @@ BINS, ROWS_PER_BAND = 128, 4
 FIRST_BANDS = 8
 #: Centres that the second round draws in each bucket; every further round draws twice as many, up to the last number.
 DRAWS, MOST_DRAWS = 2, 16
+#: Stars go on while a round finds a link for one in so many nodes; the exact join finds what they leave.
+STAR_SHARE = 1000
+#: Counters of the sketch that orders elements by rarity, and values that a written batch holds.
+SLOT_BITS, BATCH_VALUES = 20, 1_000_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PROBES = np.random.default_rng(11).integers(0, BINS, (BINS, 4096), dtype=np.int64)
@@ -165,6 +174,150 @@ def _linked(edges: DataFrame, bodies: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(_confirm(size, percent), "u bigint, v bigint")
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *rows])))
+
+
+def _slots(centre: int, d: np.ndarray) -> np.ndarray:
+    """Counter of the sketch for each element of a difference to the centre."""
+    return (_mix(d.view(np.uint64) + _mix(np.array([centre], np.uint64) + _ODD[17])) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _differences(size: int, percent: int):
+    """(node, centre, n, c_n, linked, d): the shingles that only one of node and centre has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known, begin = batch.select(["node", "centre", "n", "c_n"]), 0
+            linked, rows, held = [], [], 0
+            for i, (a, b) in enumerate(zip(texts(batch, "u_text"), texts(batch, "v_text"))):
+                left, right = shingles(a, size), shingles(b, size)
+                rows.append(np.setxor1d(left, right, assume_unique=True).view(np.int64))
+                total, apart = len(left) + len(right), len(rows[-1])
+                linked.append(100 * (total - apart) >= percent * (total + apart))
+                held += apart
+                if held >= BATCH_VALUES or i == len(batch) - 1:
+                    part = known.slice(begin, len(rows))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(linked, pa.bool_()), _lists(rows)],
+                                                     names=[*part.schema.names, "linked", "d"])
+                    linked, rows, held, begin = [], [], 0, i + 1
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, times) of the sketch over one partition."""
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        for centre, d in zip(batch.column("centre").to_pylist(), batch.column("d")):
+            np.add.at(counts, _slots(centre, d.values.to_numpy(zero_copy_only=False)), 1)
+    met = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["slot", "times"])
+
+
+def _excess(n, apart, percent: int):
+    """Two nodes are linked if they share at least (excess + excess) / (2 * (100 + percent)) of their differences."""
+    return (100 + percent) * apart - (100 - percent) * n
+
+
+def _prefixes(counts: np.ndarray, percent: int):
+    """The rarest elements of each difference, one of which a linked node of another group must have in its own.
+
+    A node that is not linked to the centre has an excess above that of the
+    empty set against it (``bar``), a linked one at least ``-bar``. ``short``
+    elements serve partners that are not linked to the centre, the further ones
+    partners that are; two linked ones are in one group already.
+    """
+    twice = 2 * (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, picked, held = 0, [], 0
+            fixed = batch.select(["node", "centre", "n", "c_n", "linked", "component"])
+            for i, (row, d) in enumerate(zip(fixed.to_pylist(), batch.column("d"))):
+                d = d.values.to_numpy(zero_copy_only=False)
+                e, bar = _excess(row["n"], len(d), percent), (100 - percent) * row["c_n"]
+                farthest = (100 - percent) * (row["n"] + 100 * row["n"] // percent) // (100 + percent) if percent else len(d)
+                least = [max(-(-low // twice), len(d) - farthest, 1) for low in (e + bar + 1, e - bar)]
+                short, long = (max(0, len(d) - o + 1) for o in least)
+                take = short if row["linked"] else max(short, long)
+                order = np.lexsort((d, counts[_slots(row["centre"], d)]))[:take]
+                picked.append((d[order], len(d) - np.arange(take), np.arange(take) < short, np.full(take, e)))
+                held += take
+                if held >= BATCH_VALUES or i == len(fixed) - 1:
+                    part = pa.Table.from_batches([fixed.slice(begin, len(picked))]).take(
+                        pa.array(np.repeat(np.arange(len(picked)), [len(p[0]) for p in picked]))).combine_chunks()
+                    for known in part.to_batches():
+                        values = [np.concatenate([p[k] for p in picked]) for k in range(4)]
+                        yield pa.RecordBatch.from_arrays(
+                            [*(known.column(c) for c in ("node", "centre", "n", "linked", "component")), *map(pa.array, values)],
+                            names=["node", "centre", "n", "linked", "component", "f", "rest", "short", "e"])
+                    begin, picked, held = i + 1, [], 0
+    return run
+
+
+def _confirm_apart(percent: int):
+    """Keeps the pairs that are linked, by their whole differences to one centre."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for a, b, total in zip(batch.column("u_d"), batch.column("v_d"), batch.column("total").to_pylist()):
+                a, b = (x.values.to_numpy(zero_copy_only=False) for x in (a, b))
+                apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
+                linked.append(100 * (total - apart) >= percent * (total + apart))
+            yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+    return run
+
+
+def _finished(members: DataFrame, group: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """The groups after all links between nodes that share a bucket.
+
+    Only buckets of several groups matter. Their centre is the node with the
+    least hash, so that the buckets of one family agree in few centres.
+    """
+    centres = members.join(group, "node").groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("c")).where("low <> high").select(
+        "bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"))
+    near = stage(members.select("node", "n", "bucket").join(centres, "bucket").where("node <> centre").select(
+        "node", "n", "centre", "c_n").distinct(), "minhash-open")
+    both = near.join(bodies.select("node", F.col("text").alias("u_text")).hint("merge"), "node").join(
+        bodies.select(F.col("node").alias("centre"), F.col("text").alias("v_text")).hint("merge"), "centre")
+    apart = stage(both.mapInArrow(_differences(size, percent),
+                                  "node bigint, centre bigint, n bigint, c_n bigint, linked boolean, d array<bigint>"),
+                  "minhash-differences")
+    group = stage(_merged(group, apart.where("linked").select(F.col("centre").alias("u"), F.col("node").alias("v"))),
+                  "minhash-groups")
+    placed = apart.select("node", "centre", "linked").join(group, "node")
+    open_ = placed.groupBy("centre").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                         F.bool_and("linked").alias("all")).where("low <> high AND NOT all").select("centre")
+    apart = apart.join(open_, "centre", "left_semi")
+
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    sketch = apart.select("centre", "d").mapInArrow(_counted, "slot bigint, times bigint").groupBy("slot").agg(
+        F.sum("times").alias("times")).toArrow()
+    counts[sketch.column("slot").to_numpy()] = sketch.column("times").to_numpy()
+    rare = stage(apart.join(group, "node").mapInArrow(
+        _prefixes(counts, percent), "node bigint, centre bigint, n bigint, linked boolean, component bigint, f bigint, "
+                                    "rest bigint, short boolean, e bigint"), "minhash-rare")
+    several = rare.groupBy("centre", "f").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("centre", "f")
+    rare = stage(rare.join(several.hint("merge"), ["centre", "f"]), "minhash-rare")
+    a, b = rare.where("NOT linked").alias("a"), rare.alias("b")
+    met = a.hint("merge").join(b, F.expr(
+        "a.centre = b.centre AND a.f = b.f AND a.component <> b.component"
+        " AND (b.linked OR (a.short AND b.short AND a.node < b.node))"
+        f" AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {int(percent)}"
+        f" AND a.e + b.e <= {2 * (100 + percent)} * least(a.rest, b.rest)"))
+    pairs = stage(met.groupBy(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).agg(
+        F.min("a.centre").alias("centre"), F.any_value(F.col("a.n") + F.col("b.n")).alias("total")), "minhash-tested")
+    links = stage(pairs.join(apart.select(F.col("node").alias("u"), "centre", F.col("d").alias("u_d")).hint("merge"),
+                             ["u", "centre"])
+                  .join(apart.select(F.col("node").alias("v"), "centre", F.col("d").alias("v_d")).hint("merge"),
+                        ["v", "centre"])
+                  .mapInArrow(_confirm_apart(percent), "u bigint, v bigint"), "minhash-links")
+    return stage(_merged(group, links), "minhash-groups")
+
+
 def _key(doc_id: str, text: str) -> F.Column:
     """Non-null key of a document; rows without an id come last."""
     return F.struct(F.col(doc_id).isNull().alias("nameless"), F.col(doc_id).alias("id"),
@@ -207,17 +360,18 @@ def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int)
                    "minhash-tested")
     links = stage(_linked(tested, bodies, size, percent), "minhash-links")
     group = stage(connected_components(nodes, links), "minhash-groups")
-    salt, draws = 1, DRAWS
-    while True:
+    n_nodes = nodes.count()
+    salt, draws, found = 1, DRAWS, n_nodes
+    while found and found * STAR_SHARE >= n_nodes:
         across = _stars_across(members, group, list(range(salt, salt + draws)), percent)
         todo = stage(across.join(tested, ["u", "v"], "left_anti").select("u", "v"), "minhash-tested")
         links = stage(_linked(todo, bodies, size, percent), "minhash-links")
-        if links.isEmpty():
-            break
+        found = links.count()
         was, group = group, stage(_merged(group, links), "minhash-groups")
         drop_stage(was)
         drop_stage(links)
         tested, salt, draws = tested.unionByName(todo), salt + draws, min(2 * draws, MOST_DRAWS)
+    group = _finished(members, group, bodies, size, percent)
     drop_stage(bodies)
     drop_stage(members)
     final = classes.select("node").join(group, "node", "left").select("node", F.coalesce("component", "node").alias("root"))

@@ -61,6 +61,58 @@ def test_components_match_all_pairs(spark):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, w in zip(ids, want) if i == w)
 
 
+def _family(draw, n):
+    """Copies of one text with nine edits each, which link to none, and two with four edits, which link to each other.
+
+    What a linked pair shares here is common to the family, so they meet in no small bucket.
+    """
+    base = ["b%d" % i for i in range(400)]
+
+    def edited(times, places):
+        out = list(base)
+        for k in draw.sample(places, times):
+            out[k] = "x%d" % draw.randrange(10**9)
+        return " ".join(out)
+
+    copies = [edited(9, range(400)) for _ in range(n)]
+    copies[n // 3], copies[n // 2] = (edited(4, range(start, 400, 12)) for start in (0, 6))
+    return copies
+
+
+def _family_components(ids, texts):
+    """Components of all pairs, with the common shingles counted by a product of matrices."""
+    sets = _sets(texts, 5)
+    seen = {}
+    for s in sets:
+        for x in s:
+            seen[x] = seen.get(x, 0) + 1
+    place = {x: k for k, x in enumerate(x for x in seen if seen[x] > 1)}
+    has = np.zeros((len(sets), len(place)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [place[x] for x in s if x in place]] = 1
+    common, n = (has @ has.T).astype(np.int64), np.array([len(s) for s in sets])
+    edges = np.argwhere(np.triu(100 * common >= 80 * (n[:, None] + n[None] - common), 1))
+    least = dict(zip(range(len(ids)), ids))
+    for _ in range(len(ids)):
+        was = dict(least)
+        for u, v in edges:
+            least[u] = least[v] = min(least[u], least[v])
+        if was == least:
+            break
+    return [least[i] for i in range(len(ids))], len(edges)
+
+
+def test_lone_links_inside_a_large_family_are_found(spark):
+    draw = random.Random(21)
+    texts = _family(draw, 1500)
+    ids = draw.sample(range(10**6), len(texts))
+    want, n = _family_components(ids, texts)
+    assert 1 <= n < 100
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert [out[i] for i in ids] == want
+
+
 def test_rows_without_ids_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"),
                                   (None, None), (None, "z"), (8, "")], "doc_id long, text string")
