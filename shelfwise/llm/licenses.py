@@ -7,6 +7,8 @@ the same way; the share of template words that found a partner is the coverage.
 * Where to align is exact: a text part that covers a share c of a template of
   n words holds one of any n - ceil(c * n) + 1 of them, so windows around the
   template's longest words suffice.
+* Repeated notices leave no word that occurs once. Where a window repeats the word
+  it was opened for, or aligns too little, windows of about one template decide.
 * One pass over the scan without a shuffle; templates are a parameter of
   bounded size. Windows bound the work on documents of any length.
 """
@@ -133,6 +135,26 @@ def prepared(templates: dict[str, list[str]], coverage: float) -> tuple[list[Tem
     return ready, seeds
 
 
+def _aligned(words: list[bytes], begin: int, end: int, template: Template) -> list[tuple[int, int]]:
+    """The alignment of a window, by position in the text, if it is a notice."""
+    begin = max(begin, 0)
+    pairs = [(begin + i, j) for i, j in align(words[begin:end], template.words)]
+    dense = len(pairs) >= template.least and len(pairs) >= DENSITY * (pairs[-1][0] - pairs[0][0] + 1)
+    return pairs if dense else []
+
+
+def _around(words: list[bytes], at: int, least: int, template: Template) -> list[tuple[int, int]]:
+    """The best notice in windows of about one template around a word, not before ``least``; the shortest of equal ones."""
+    n, best = len(template.words), []
+    for j in (j for j, w in enumerate(template.words) if w == words[at]):
+        for slack in (0, n // 8, n // 4, n // 2):
+            for before, after in {(slack, slack), (slack, 0), (0, slack)}:
+                pairs = _aligned(words, max(least, at - j - before), at - j + n + after, template)
+                if pairs and pairs[0][0] <= at <= pairs[-1][0]:
+                    best = max(best, pairs, key=lambda p: (len(p), p[0][0] - p[-1][0], -p[0][0]) if p else (0, 0, 0))
+    return best
+
+
 def matches_in(words: list[bytes], ready: list[Template], seeds: dict[bytes, list[int]]) -> list[dict]:
     """Notices in a text, by position; of overlapping ones that with the most words, then the best covered."""
     found, done = [], {}
@@ -143,15 +165,16 @@ def matches_in(words: list[bytes], ready: list[Template], seeds: dict[bytes, lis
                 continue
             reach = len(template.words) + len(template.words) // 2 + 4
             begin = max(done.get(number, 0), at - reach)
-            window = words[begin:at + reach + 1]
-            if sum((Counter(window) & template.counts).values()) < template.least:
+            counts = Counter(words[begin:at + reach + 1])
+            if sum((counts & template.counts).values()) < template.least:
                 continue
-            pairs = align(window, template.words)
-            if len(pairs) < template.least or len(pairs) < DENSITY * (pairs[-1][0] - pairs[0][0] + 1):
+            pairs = _around(words, at, begin, template) if counts[word] > template.counts[word] else []
+            pairs = pairs or _aligned(words, begin, at + reach + 1, template) or _around(words, at, begin, template)
+            if not pairs or pairs[0][0] > at:  # one that begins later has a seed of its own
                 continue
-            end = begin + pairs[-1][0] + 1
+            start, end = pairs[0][0], pairs[-1][0] + 1
             done[number] = end
-            found.append({"license": template.name, "start": begin + pairs[0][0], "end": end, "matched": len(pairs),
+            found.append({"license": template.name, "start": start, "end": end, "matched": len(pairs),
                           "coverage": len(pairs) / len(template.words)})
     kept: list[dict] = []  # by start; none overlaps another
     for one in sorted(found, key=lambda m: (-m["matched"], -m["coverage"], m["license"], m["start"])):

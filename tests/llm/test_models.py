@@ -234,6 +234,23 @@ def test_notices(spark):
     assert licenses.license_notices(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_repeated_notices_between_other_text():
+    ready, seeds = licenses.prepared(licenses.TEMPLATES, licenses.COVERAGE)
+
+    def starts(text):
+        return [(m["license"], m["start"]) for m in licenses.matches_in(licenses.words_of(text), ready, seeds)]
+
+    mit = licenses.TEMPLATES["MIT"][1]
+    n, cc = len(licenses.words_of(mit)), "Licensed under CC BY 4.0.\n"
+    step = len(licenses.words_of(cc))
+    for times in (1, 2, 3, 7):
+        for tail in ("", "foo bar baz"):
+            assert starts("x y z\n" + cc * times + tail) == [("CC-BY-4.0", 3 + step * k) for k in range(times)]
+            assert starts("x y z " + (mit + "\n") * times + tail) == [("MIT", 3 + n * k) for k in range(times)]
+    worn = mit.replace("free of charge, ", "").replace("merge, publish", "merge and publish")
+    assert starts("x y z " + worn + " and " + mit + " " + worn + " q r") == [("MIT", 3), ("MIT", 2 + n), ("MIT", 2 + 2 * n)]
+
+
 # --- chat -------------------------------------------------------------------
 
 TURNS = "pair_id long, turn int, role string, text string, prompt string"
