@@ -113,6 +113,18 @@ def test_lone_links_inside_a_large_family_are_found(spark):
     assert [out[i] for i in ids] == want
 
 
+def test_pipeline_keeps_one_text_of_a_lone_link_in_a_family(spark):
+    import corpus_pipeline
+
+    draw = random.Random(22)
+    texts = _family(draw, 1200)
+    ids = draw.sample(range(10**6), len(texts))
+    want, n = _family_components(ids, texts)
+    assert n >= 1
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == sorted(set(want))
+
+
 def test_rows_without_ids_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"),
                                   (None, None), (None, "z"), (8, "")], "doc_id long, text string")
