@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    chat, decontaminate, exactdedup, licenses, linedup, minhash, pieces, pii, quality, urlfilter,
+    chat, decontaminate, exactdedup, licenses, linedup, minhash, pieces, pii, quality, secretscan, turnrepair, urlfilter,
+    whitening,
 )
 
 #: Place of the vocabulary; a parameter of the operator.
@@ -212,3 +213,74 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_notices(_table(spark, folder, "documents"))
+
+
+@query
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turnrepair.repair_report(turnrepair.damaged(_table(spark, folder, "conversations")), gone="gone")
+
+
+ORACLE["op11_turn_repair"] = r"""
+WITH RECURSIVE bits AS (SELECT i, i AS c, 0 AS k FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i) UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+kinds AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                 string_split(key, ''), lambda ch: ord(ch)::BIGINT)),
+                 lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295) % 20 AS kind FROM keyed, tab),
+hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN ''
+                WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, substr(role, 1, 1) AS init, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+                  substr(text, 1, 64), sha256(length(role) || ':' || role || text), copy) AS pos FROM hurt),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                  WHEN right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1)
+                       NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  init <> '' AND lag(init) OVER w || init IN ('su', 'ua', 'au') AS fine, lag(pos) OVER w AS prior
+           FROM placed WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+stats AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                 count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (prior IS NOT NULL AND NOT fine) AS illegal FROM judged GROUP BY conv_id),
+given AS (SELECT * FROM (VALUES (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2), (0, 's', 1)) AS g(p, role, q)),
+step AS (SELECT p, 'D' AS op, NULL AS init, p AS q, 2 AS cost FROM (SELECT unnest([0, 1, 2, 3]) AS p) UNION ALL
+         SELECT p, 'K', role, q, 0 FROM given UNION ALL SELECT p, 'R', NULL, q, 1 FROM given WHERE role <> 's'),
+added AS (SELECT * FROM (VALUES (0, 0, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 1, 0, ''), (1, 2, 5, 'I'), (1, 3, 10, 'II'),
+          (2, 2, 0, ''), (2, 3, 5, 'I'), (3, 3, 0, ''), (3, 2, 5, 'I')) AS c(p, q, cost, ops)),
+every AS (SELECT DISTINCT conv_id FROM conversations),
+best AS (SELECT conv_id, 0::BIGINT AS pos, q AS state, {'cost': cost::BIGINT, 'audit': ops} AS way FROM every, added WHERE p = 0
+  UNION ALL
+  SELECT b.conv_id, j.pos, a.q, min({'cost': b.way.cost + s.cost + a.cost
+             + CASE WHEN j.fault = 'truncated' AND s.op <> 'D' THEN 5 ELSE 0 END, 'audit': b.way.audit || s.op || a.ops})
+  FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.pos = b.pos + 1
+  JOIN step s ON s.p = b.state AND (s.init IS NULL OR s.init = j.init)
+             AND (s.op = 'D' OR j.fault NOT IN ('blank', 'duplicate'))
+  JOIN added a ON a.p = s.q GROUP BY b.conv_id, j.pos, a.q),
+final AS (SELECT b.conv_id, min(way) AS way FROM best b LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM b.conv_id
+          WHERE b.pos = coalesce(t.n, 0) AND state IN (0, 3) GROUP BY b.conv_id),
+chars AS (SELECT conv_id, i, substr(way.audit, i, 1) AS op,
+                 length(replace(substr(way.audit, 1, i), 'I', '')) AS pos,
+                 length(replace(substr(way.audit, i + 1), 'D', '')) AS later
+          FROM (SELECT conv_id, way, unnest(generate_series(1, length(way.audit))) AS i FROM final)),
+lines AS (SELECT c.conv_id, string_agg(CASE WHEN op = 'K' THEN j.role WHEN later % 2 = 0 THEN 'assistant' ELSE 'user' END
+                 || ':' || CASE WHEN op = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY i) AS body
+          FROM chars c LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM c.conv_id AND j.pos = c.pos
+          WHERE op <> 'D' GROUP BY c.conv_id)
+SELECT f.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, way.cost AS cost, way.audit AS audit,
+       sha256(coalesce(body, '')) AS repaired_sha256
+FROM final f LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+@query
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secretscan.secret_report(_table(spark, folder, "documents"))
