@@ -176,14 +176,14 @@ def _layers(text: str, fresh: array | None, limit: int) -> Iterator[tuple[str, a
     """(way, fresh places, text, mapping) of what this layer wraps.
 
     ``fresh`` are the places of characters that an escape gave; runs without
-    any were unwrapped in the layer around it already.
+    any, inside or beside them, were unwrapped in the layer around it already.
     """
     for line, locate, places in _escaped_lines(text):
         yield "escape", places, line, locate
     for run, locate in _base64_runs(text):
         if fresh is not None:
             a, b = locate(0, len(run))
-            if bisect_right(fresh, b - 1) == bisect_right(fresh, a - 1):
+            if bisect_right(fresh, b) == bisect_right(fresh, a - 2):
                 continue
         data = _decoded(run)
         if data is None:
