@@ -6,13 +6,10 @@ A call frame has ``seq`` (unique, in arrival order), ``ts`` in microseconds,
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators import admission
 from shelfwise.staging import stage
 
 MICROS = 1_000_000
@@ -48,24 +45,29 @@ def denied_calls(calls: DataFrame, permissions: dict[str, list[str]] = PERMISSIO
     return calls.join(F.broadcast(table), ["server", "tool"], "left_anti")
 
 
-def _in_time_slots(calls: DataFrame, before: int, after: int, slot: int) -> DataFrame:
-    """Calls placed in the time slots that must see them.
+def offered_load(calls: DataFrame, span: int = SPAN) -> DataFrame:
+    """``load``: calls to the same server in the ``span`` up to and including this one.
 
-    A slot holds its own calls plus those up to ``before`` earlier and
-    ``after`` later as context. Windows over (server, slot) then give the same
-    answers as windows over a server, however many calls one server has.
+    Calls of one moment are counted first. Moments, and for each moment the
+    question how many calls came up to a span earlier, are sorted together into
+    ranges of equal numbers of rows and numbered there; the load is a
+    difference of two running counts. So neither a busy server nor a busy
+    minute meets in one task.
     """
-    lo = F.floor((F.col("ts") - after) / F.lit(slot))
-    hi = F.floor((F.col("ts") + before) / F.lit(slot))
-    home = F.floor(F.col("ts") / F.lit(slot))
-    return calls.withColumn("_slot", F.explode(F.sequence(lo, hi))).withColumn("_own", F.col("_slot") == home)
-
-
-def offered_load(calls: DataFrame, span: int = SPAN, slot: int = 60 * SPAN) -> DataFrame:
-    """``load``: calls to the same server in the ``span`` up to and including this one."""
-    placed = _in_time_slots(calls, span, 0, max(slot, span))
-    trailing = Window.partitionBy("server", "_slot").orderBy("ts").rangeBetween(1 - span, 0)
-    return placed.withColumn("load", F.count("*").over(trailing)).where("_own").select(*calls.columns, "load")
+    moments = stage(calls.groupBy("server", "ts").agg(F.count("*").alias("n")), "moments")
+    asked = moments.select("server", (F.col("ts") - span).alias("t"), "ts", F.lit(0).cast("long").alias("n"), F.lit(True).alias("asks"))
+    line = moments.select("server", F.col("ts").alias("t"), "ts", "n", F.lit(False).alias("asks")).unionByName(asked)
+    order = ["server", "t", "asks"]
+    parts = stage(line.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "call-line")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("part").agg(F.sum("n").alias("_size")).select(
+        "part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    counted = parts.withColumn("_upto", upto).join(F.broadcast(offsets), "part").select(
+        F.col("server").alias("_server"), F.col("ts").alias("_ts"),
+        F.when(F.col("asks"), -F.col("_upto") - F.col("_offset")).otherwise(F.col("_upto") + F.col("_offset")).alias("count"))
+    loads = counted.groupBy("_server", "_ts").agg(F.sum("count").alias("load"))
+    return calls.join(loads, F.col("server").eqNullSafe(F.col("_server")) & (F.col("ts") == F.col("_ts"))).select(*calls.columns, "load")
 
 
 def rate_limit_of(server: Column, limits: dict[str, int], default: int) -> Column:
@@ -75,63 +77,9 @@ def rate_limit_of(server: Column, limits: dict[str, int], default: int) -> Colum
     return limit.otherwise(default) if limits else F.lit(default)
 
 
-def busy_phases(calls: DataFrame, limits: dict[str, int], default: int, span: int, slot: int) -> DataFrame:
-    """Calls with ``phase``: null where admission is certain, else the phase's first ts.
-
-    A call whose offered load is within the limit is admitted whatever was
-    denied before it. Only calls within one span of an overloaded call have to
-    be replayed in order; phases a span or more apart do not affect each other.
-    """
-    slot = max(slot, 4 * span)
-    placed = _in_time_slots(calls, 3 * span, span, slot).withColumn(
-        "_limit", rate_limit_of(F.col("server"), limits, default))
-    by_time = Window.partitionBy("server", "_slot").orderBy("ts")
-    over = F.count("*").over(by_time.rangeBetween(1 - span, 0)) > F.col("_limit")
-    flagged = placed.withColumn("_over", over.cast("int"))
-    busy = F.max("_over").over(by_time.rangeBetween(1 - span, span - 1)) == 1
-    # Start of a phase: no busy call less than a span earlier.
-    marked = flagged.withColumn("_busy", busy)
-    earlier = F.max(F.when(F.col("_busy"), F.col("ts"))).over(
-        Window.partitionBy("server", "_slot").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.col("_busy") & (earlier.isNull() | (F.col("ts") - earlier >= span))
-    own = marked.withColumn("_starts", starts).where("_own")
-    in_slot = Window.partitionBy("server", "_slot").orderBy("ts", "seq").rowsBetween(
-        Window.unboundedPreceding, 0)
-    local = own.withColumn("_phase", F.max(F.when(F.col("_starts"), F.col("ts"))).over(in_slot))
-    placed_once = stage(local.select(
-        *calls.columns, "_limit", "_slot", "_busy", "_starts", "_phase"), "phases")
-    # A phase that began in an earlier slot: carry its start over the slots,
-    # of which there is one row per server and hour here.
-    slots = placed_once.groupBy("server", "_slot").agg(F.max(F.when(F.col("_starts"), F.col("ts"))).alias("_last"))
-    carried = slots.select("server", "_slot", F.max("_last").over(
-        Window.partitionBy("server").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    return placed_once.join(carried, ["server", "_slot"]).select(
-        *calls.columns, "_limit",
-        F.when(F.col("_busy"), F.coalesce("_phase", "_carry")).alias("phase"),
-    )
-
-
-def _replay(span: int, columns: list[str]):
-    """Admission over rows sorted by (server, phase, ts, seq), in batches.
-
-    Holds the admitted timestamps of the last span only; a phase may go on
-    over any number of batches.
-    """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, recent = None, deque()
-        for batch in batches:
-            verdicts = []
-            for server, phase, ts, limit in zip(batch["server"], batch["phase"], batch["ts"], batch["_limit"]):
-                if (server, phase) != current:
-                    current, recent = (server, phase), deque()
-                while recent and recent[0] <= ts - span:
-                    recent.popleft()
-                admitted = len(recent) < limit
-                if admitted:
-                    recent.append(ts)
-                verdicts.append(admitted)
-            yield batch.assign(admitted=verdicts)[[*columns, "admitted"]]
-    return run
+def _verdicts(calls: DataFrame, limits: dict[str, int], default: int, span: int) -> DataFrame:
+    limit = rate_limit_of(F.col("server"), limits, default).cast("int").alias("limit")
+    return admission.verdicts(calls.select("seq", "ts", "server", limit), span).select("seq", "admitted")
 
 
 def admit(
@@ -139,21 +87,13 @@ def admit(
     limits: dict[str, int] = RATE_LIMITS,
     default: int = DEFAULT_RATE_LIMIT,
     span: int = SPAN,
-    slot: int = 60 * SPAN,
 ) -> DataFrame:
     """``admitted`` per call under a sliding limit; denied calls use no budget.
 
-    Calm calls (see ``busy_phases``) are admitted by a column expression.
-    Overload phases are independent of each other and replayed in parallel,
-    each as a sorted stream with a constant-size state.
+    Replayed in parallel over parts of equal numbers of calls, see
+    :mod:`shelfwise.operators.admission`.
     """
-    phased = busy_phases(calls, limits, default, span, slot)
-    calm = phased.where(F.col("phase").isNull()).select(*calls.columns, F.lit(True).alias("admitted"))
-    busy = phased.where(F.col("phase").isNotNull())
-    stream = busy.repartition("server", "phase").sortWithinPartitions("server", "phase", "ts", "seq")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in calls.schema.fields)
-    replayed = stream.mapInPandas(_replay(span, calls.columns), f"{fields}, admitted boolean")
-    return calm.unionByName(replayed)
+    return calls.join(_verdicts(calls, limits, default, span), "seq").select(*calls.columns, "admitted")
 
 
 def call_outcomes(
@@ -171,7 +111,7 @@ def call_outcomes(
     routed = sorted({tool for tools in permissions.values() for tool in tools})
     checked = check_permissions(calls, permissions).withColumn("_routed", F.col("tool").isin(routed))
     permitted = checked.where("permitted")
-    limited = admit(permitted.drop("permitted", "_routed"), limits, default, span).select("seq", "admitted")
+    limited = _verdicts(permitted, limits, default, span)
     joined = checked.join(limited, "seq", "left")
     failed = F.col("error").isNotNull() if "error" in calls.columns else F.lit(False)
     size = F.length(F.coalesce(F.col("result"), F.lit(""))) if "result" in calls.columns else F.lit(0)

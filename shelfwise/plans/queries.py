@@ -718,13 +718,13 @@ def call_load_60s(spark, folder):
 
 @query
 def call_load_1h(spark, folder):
-    return audit.offered_load(derived.calls(spark, folder), derived.HOUR, 24 * derived.HOUR).select(
+    return audit.offered_load(derived.calls(spark, folder), derived.HOUR).select(
         "seq", "server", "load")
 
 
 @query
 def rate_limit_admission(spark, folder):
-    admitted = audit.admit(derived.calls(spark, folder), {"click": 3}, 4, derived.HOUR, 24 * derived.HOUR)
+    admitted = audit.admit(derived.calls(spark, folder), {"click": 3}, 4, derived.HOUR)
     return admitted.select("seq", "server", "admitted")
 
 

@@ -30,20 +30,22 @@ def make_calls(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("slot", [4 * SPAN, 9 * SPAN])
-def test_admission_matches_the_sequential_rule(spark, seed, slot):
+@pytest.mark.parametrize("parts", [1, 3, 37])
+def test_admission_matches_the_sequential_rule(spark, many_parts, seed, parts):
     calls = make_calls(seed)
     df = spark.createDataFrame(calls, "seq long, ts long, server string, tool string")
-    got = {r.seq: r.admitted for r in audit.admit(df, {"hot": 5}, 3, SPAN, slot).collect()}
+    many_parts(parts)
+    got = {r.seq: r.admitted for r in audit.admit(df, {"hot": 5}, 3, SPAN).collect()}
     want = brute(calls, {"hot": 5}, 3)
     assert got == want and len(set(want.values())) == 2
 
 
-@pytest.mark.parametrize("slot", [SPAN, 7 * SPAN])
-def test_offered_load_matches_counting(spark, slot):
+@pytest.mark.parametrize("parts", [1, 23])
+def test_offered_load_matches_counting(spark, many_parts, parts):
     calls = make_calls(3)
     df = spark.createDataFrame(calls, "seq long, ts long, server string, tool string")
-    got = {r.seq: r.load for r in audit.offered_load(df, SPAN, slot).collect()}
+    many_parts(parts)
+    got = {r.seq: r.load for r in audit.offered_load(df, SPAN).collect()}
     want = {seq: sum(s == server and ts - SPAN < t <= ts for _, t, s, _ in calls) for seq, ts, server, _ in calls}
     assert got == want
 
