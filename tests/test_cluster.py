@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster, components, density, hierarchy
+from shelfwise.operators import cluster, components, density, hierarchy, kdtree
 from shelfwise.plans import catalogue
 from shelfwise.staging import stage
 
@@ -96,11 +96,41 @@ def test_ward_on_few_points_is_plain_ward(spark):
     assert partition(got) == naive_ward(x, 4)
 
 
-def test_ward_on_micro_clusters(spark):
-    rng = np.random.default_rng(6)
-    x = np.vstack([rng.normal(c, .05, (100, 2)) for c in ((0, 0), (5, 5), (0, 5))])
-    got = labels_of(hierarchy.ward(frame(spark, x), 3, micro=30), "hc_label")
-    assert partition(got) == {frozenset(range(i, i + 100)) for i in (0, 100, 200)}
+@pytest.mark.parametrize("dims,k,finish", [(4, 13, 30)])
+def test_ward_in_rounds_is_plain_ward(spark, dims, k, finish):
+    rng = np.random.default_rng(dims)
+    # Two far points are each other's nearest at once: their merge is one of the dearest, though of the first round.
+    x = np.vstack([rng.normal(c, .3, (30, dims)) for c in (0, 1, 4)] + [np.full((1, dims), 90.), np.full((1, dims), 99.)])
+    x = np.vstack([x, x[:7]])
+    got = labels_of(hierarchy.ward(frame(spark, x), k, finish=finish, leaf=32), "hc_label")
+    distinct, back = np.unique(x, axis=0, return_inverse=True)
+    # Plain Ward merges equal rows first, at no cost.
+    assert partition(got) == naive_ward(x, k) and sorted(set(got)) == list(range(k)) and len(distinct) == 92
+    assert (np.bincount(got)[:-1] >= np.bincount(got)[1:]).all()
+
+
+def test_ward_of_more_clusters_than_points(spark):
+    got = labels_of(hierarchy.ward(frame(spark, [[1.0], [2.0], [1.0]]), 5), "hc_label")
+    assert got[0] == got[2] != got[1]
+
+
+def test_split_blocks_are_small_disjoint_boxes(spark):
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(size=(300, 3)), np.tile([[1.0, 2.0, 3.0]], (40, 1)), np.round(rng.normal(size=(100, 3)))])
+    points = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, x array<double>")
+    blocks = {}
+    split = stage(kdtree.split(points, 3, 32))
+    for r in split.collect():
+        blocks.setdefault(r.block, []).append(r.id)
+    assert sorted(i for own in blocks.values() for i in own) == list(range(len(x)))
+    assert all(len(own) <= 32 or len({tuple(x[i]) for i in own}) == 1 for own in blocks.values())
+    pairs = kdtree.near_pairs(
+        kdtree.packed(split, ["id"], 3), 3, kdtree.gap2("a_", "b_", 3) <= 0.25, {}).collect()
+    near = {(r.a, r.b) for r in pairs}
+    block = {i: b for b, own in blocks.items() for i in own}
+    close = ((x[:, None] - x[None]) ** 2).sum(-1) <= 0.25
+    assert {(block[i], block[j]) for i, j in zip(*np.nonzero(close))} <= near and len(near) < len(blocks) ** 2
+    assert all((b, a) in near for a, b in near)
 
 
 def test_sweep_and_kmeans(spark, folder):
