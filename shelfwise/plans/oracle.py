@@ -592,10 +592,13 @@ ORACLE |= {
                      "max(support) AS max_support FROM rules"),
     "fpgrowth_itemsets": f"""WITH {ITEMSETS} SELECT array_to_string(s, '|') AS items, freq FROM sets, total
       WHERE freq >= 0.05 * n""",
-    "fpgrowth_rules": f"""WITH {ITEMSETS}, frequent AS (SELECT s, freq FROM sets, total WHERE freq >= ceil(0.05 * n)),
-      sided AS (SELECT z.freq AS n_all, a.s AS ant, a.freq AS n_ant, c.s AS con, c.freq AS n_con
-        FROM frequent z JOIN frequent a ON len(a.s) < len(z.s) AND list_has_all(z.s, a.s)
-        JOIN frequent c ON c.s = list_filter(z.s, lambda x: NOT list_contains(a.s, x)))
+    "fpgrowth_rules": f"""WITH {ITEMSETS.replace('sets AS (', 'sets AS MATERIALIZED (')},
+      frequent AS MATERIALIZED (SELECT s, freq FROM sets, total WHERE freq >= ceil(0.05 * n)),
+      masks AS (SELECT s, freq, unnest(generate_series(1, (1 << len(s)) - 2)) AS mask FROM frequent WHERE len(s) > 1),
+      parted AS MATERIALIZED (SELECT freq AS n_all, list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS ant,
+        list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS con FROM masks),
+      sided AS (SELECT n_all, ant, a.freq AS n_ant, con, c.freq AS n_con
+        FROM parted JOIN frequent a ON a.s = ant JOIN frequent c ON c.s = con)
       SELECT array_to_string(ant, ', ') AS antecedents, array_to_string(con, ', ') AS consequents,
         round(n_all / n, 4) AS support, round(n_all / n_ant, 4) AS confidence,
         round((n_all / n_ant) / (n_con / n), 4) AS lift FROM sided, total WHERE (n_all / n_ant) / (n_con / n) >= 0.9""",
@@ -616,14 +619,12 @@ QUESTIONS = """asked AS (SELECT conv_id, turn, text || CASE WHEN conv_id % 7 <>
   ['rapport', 'profil', 'marketing', 'panier', 'meilleur', 'top', 'hello'], conv_id % 7 + 1) ELSE '' END AS question
   FROM conversations WHERE role = 'user')"""
 REPLIES = {
-    "summary": "Compact summary: high-quality product with strong customer ratings and competitive pricing.",
-    "trend": "Weekly trend report: Electronics leads with +12% score vs last week. Discount products up 8%. "
-             "Premium segment stable.",
-    "profile": "Target customer profile: tech-savvy consumers aged 25-40, price-conscious but quality-driven, "
-               "active online shoppers.",
-    "strategy": "Recommended strategy: focus flash promotions on high-rated Electronics, bundle Sport + Beauty products, "
-                "and highlight customer reviews for Premium segment.",
-    "answer": "Based on the current data, the top-rated product this week is Product 42 with a score of 0.91.",
+    "summary": "Short summary: buyers rate this product well and its price holds up against similar offers.",
+    "trend": "Trend note: compare the category scores and discount shares above with the previous run before acting.",
+    "profile": "Buyer profile: people who compare prices, read reviews and buy online in the categories listed.",
+    "strategy": "Strategy note: promote well rated products first, pair items that sell together, and show reviews next to "
+                "prices.",
+    "answer": "The figures above answer this question as far as the catalogue goes.",
 }
 CATEGORY_LINES = f"""(SELECT string_agg(category || ': ' || count, chr(10) ORDER BY count DESC, category)
   FROM (SELECT * FROM {counted('category')} ORDER BY count DESC, category LIMIT 5))"""
@@ -776,3 +777,45 @@ named AS (SELECT u, dense_rank() OVER (ORDER BY first) - 1 AS label FROM group_o
 found AS (SELECT n.u, min(label) AS label FROM near n JOIN named ON named.u = n.v GROUP BY n.u)
 SELECT product_id, coalesce(named.label, found.label, -1)::INTEGER AS dbscan_label
 FROM pts LEFT JOIN named ON named.u = product_id LEFT JOIN found ON found.u = product_id"""
+
+_GAPS = ' + '.join(f'(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})' for i in range(len(FEATURE_NAMES)))
+
+
+def _grouped_silhouette(label: str) -> str:
+    """Mean Euclidean silhouette of every group, over all pairs of products."""
+    return f"""SELECT '{label}' AS grouping, {label} AS label, count(*) AS products, round(avg(CASE WHEN n = 1 THEN 0
+      WHEN greatest(inside, near) > 0 THEN (near - inside) / greatest(inside, near) ELSE 0 END), 6) AS silhouette
+    FROM (SELECT u, any_value({label}) AS {label}, max(n) FILTER (c = {label}) AS n,
+            max(total / (n - 1)) FILTER (c = {label} AND n > 1) AS inside, min(total / n) FILTER (c <> {label}) AS near
+          FROM (SELECT a.product_id AS u, any_value(a.{label}) AS {label}, b.{label} AS c, sum(sqrt({_GAPS})) AS total,
+                       count(*) AS n FROM pts a CROSS JOIN pts b GROUP BY a.product_id, b.{label}) GROUP BY u) GROUP BY 2"""
+
+
+ORACLE["group_silhouettes"] = f"""WITH {FEATURED},
+pts AS MATERIALIZED (SELECT product_id, category, platform, {', '.join(f'{scaled(c)} AS f{i}' for i, c in enumerate(FEATURE_NAMES))}
+  FROM featured)
+{_grouped_silhouette('category')} UNION ALL {_grouped_silhouette('platform')}"""
+
+
+def _chosen(name: str) -> str:
+    """A context's SQL over the chosen products instead of all."""
+    return ORACLE[name].removeprefix(f"WITH {SCORED}\n").replace("FROM scored", "FROM chosen")
+
+
+_STRATEGY = ORACLE["strategy_context"].removeprefix(f"WITH {SEGMENTS}, {order_items('p_type')}, ")
+ORACLE["report_contexts"] = f"""WITH {SEGMENTS}, {order_items('p_type')}, {_STRATEGY[:_STRATEGY.index("SELECT segments, rules")].rstrip()},
+chosen AS (SELECT * FROM scored WHERE platform = 'shopify'),
+strategy AS ({_STRATEGY[_STRATEGY.index("SELECT segments, rules"):]}),
+prompts AS (
+  SELECT 'topk_summary' AS kind, 'Top-K products:' || chr(10) || '[' || string_agg(to_json({{'title': title, 'category': category,
+    'price': price, 'rating': rating, 'review_count': review_count, 'score': score, 'shop_name': shop_name,
+    'platform': platform, 'discount_pct': discount_pct}})::VARCHAR, ',' ORDER BY {BEST}) || ']' AS prompt
+  FROM (SELECT * FROM chosen ORDER BY {BEST} LIMIT 7)
+  UNION ALL SELECT 'market_trend', prompt FROM ({_chosen('trend_context')})
+  UNION ALL SELECT 'pricing', prompt FROM ({_chosen('pricing_context')})
+  UNION ALL SELECT 'cross_sell', 'Marketing strategy (stratégie).' || chr(10) || 'Segments:' || chr(10)
+    || 'Clustering non disponible' || chr(10) || 'Rules:' || chr(10) || 'Règles d''association non disponibles' || chr(10)
+    || 'Best product per category:' || chr(10) || top_by_category FROM strategy
+  UNION ALL SELECT 'segment', prompt FROM strategy
+  UNION ALL SELECT 'other', 'Unknown report kind: other. Products: ' || count(*) || ', average score ' || round(avg(score), 3) FROM chosen)
+SELECT kind, prompt || chr(10) || 'Format: Executive summary' AS prompt FROM prompts"""

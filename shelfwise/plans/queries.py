@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import labels, parse
 from shelfwise.operators import (
-    audit, bi, classify, clean, cluster, dedup, enrich, normalize, rules, scoring,
+    audit, bi, classify, clean, cluster, dedup, enrich, normalize, rules, scoring, silhouette,
 )
 from shelfwise.plans import catalogue, derived, runs
 from shelfwise.sources import catalog, html, sinks
@@ -702,6 +702,9 @@ def report_contexts(spark, folder):
     scored = catalogue.scored(spark, folder)
     kinds = ["topk_summary", "market_trend", "pricing", "cross_sell", "other"]
     frames = [enrich.report_context(scored, k, 7, platform="shopify") for k in kinds]
+    mined = rules.pair_rules(derived.order_items(spark, folder, "p_type"), 0.05, 0.3)
+    named = cluster.label_products(_named_segments(spark, folder))
+    frames.append(enrich.report_context(scored, "segment", 7, clustered=named, rules=mined, platform="shopify"))
     merged = frames[0]
     for frame in frames[1:]:
         merged = merged.unionByName(frame)
@@ -925,6 +928,16 @@ def clustering_metrics(spark, folder):
     return _grouping(spark, folder)[1]
 
 
+@query
+def group_silhouettes(spark, folder):
+    """How well categories and platforms separate the products in the feature space."""
+    groups = ["category", "platform"]
+    rows = silhouette.silhouette_values(catalogue.matrix(spark, folder).select("features", *groups), groups)
+    frames = [rows.groupBy(F.lit(g).alias("grouping"), F.col(g).alias("label")).agg(
+        F.count("*").alias("products"), F.round(F.avg(f"{g}_silhouette"), 6).alias("silhouette")) for g in groups]
+    return frames[0].unionByName(frames[1])
+
+
 # --- whole runs -----------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
 from shelfwise.operators import (
-    bi, classify, clean, cluster, dedup, density, enrich, hierarchy, normalize, rules, scoring,
+    bi, classify, clean, cluster, dedup, density, enrich, hierarchy, normalize, rules, scoring, silhouette,
 )
 from shelfwise.sources import catalog, sinks
 from shelfwise.staging import stage
@@ -45,18 +45,25 @@ def _dbscan_summary(rows: DataFrame) -> tuple[int, int, float]:
 
 
 def cluster_all(matrix: DataFrame, k: int, n_init: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Rows with all three cluster labels and names, and one row of metrics."""
+    """Rows with all three cluster labels and names, and one row of metrics.
+
+    ``.._silhouette`` is over squared distances, ``.._euclidean`` over distances.
+    """
     km = stage(cluster.best_kmeans(matrix, k, n_init).transform(matrix), "kmeans")
     hc = stage(hierarchy.ward(km, k), "ward")
     labelled = stage(density.dbscan(hc), "dbscan")
     clusters, noise, db_score = _dbscan_summary(labelled)
+    own = labelled.select("features", F.col("cluster").alias("kmeans"), F.col("hc_label").alias("ward"),
+                          F.when(F.col("dbscan_label") != density.NOISE, F.col("dbscan_label")).alias("dbscan"))
+    exact = silhouette.euclidean_silhouettes(own, ["kmeans", "ward", "dbscan"])
     models = cluster.pca(matrix)
     shares = [float(v) for v in models[1].explainedVariance]
     metrics = matrix.sparkSession.createDataFrame(
         [(k, round(cluster.silhouette(labelled, "cluster"), 4), round(cluster.silhouette(labelled, "hc_label"), 4),
-          clusters, noise, round(db_score, 4), shares)],
+          clusters, noise, round(db_score, 4), *[round(exact[c], 4) for c in ("kmeans", "ward", "dbscan")], shares)],
         "k int, kmeans_silhouette double, ward_silhouette double, dbscan_clusters long, dbscan_outliers long, "
-        "dbscan_silhouette double, pca_explained array<double>")
+        "dbscan_silhouette double, kmeans_euclidean double, ward_euclidean double, dbscan_euclidean double, "
+        "pca_explained array<double>")
     return cluster.label_products(labelled), metrics
 
 
@@ -145,9 +152,9 @@ def enrich_catalogue(
     sinks.write_jsonl(summarised, f"{folder}/enriched_products")
     top = scoring.select_top_k(scored, 20)
     reports = {
-        "trend_report": (f"Rapport de tendances — {day}", enrich.trend_context(scored)),
-        "client_profile": ("Profil client cible", enrich.persona_context(top)),
-        "marketing_strategy": ("Stratégie marketing recommandée",
+        "trend_report": (f"Catalogue trends, {day}", enrich.trend_context(scored)),
+        "client_profile": ("Who buys the top products", enrich.persona_context(top)),
+        "marketing_strategy": ("What to promote next",
                                enrich.strategy_context(scored if clustered is None else clustered, mined)),
     }
     texts = {}

@@ -29,9 +29,9 @@ def test_analysis_run(spark, folder, tmp_path):
 def test_enrichment_run(spark, folder, tmp_path):
     scored = catalogue.scored(spark, folder)
     row = runs.enrich_catalogue(scored, str(tmp_path), "2024-01-01", max_summaries=7).first()
-    assert row.summaries_count == 7 and row.trend_report.startswith("Weekly trend report")
+    assert row.summaries_count == 7 and row.trend_report.startswith("Trend note")
     text = "".join(p.read_text() for p in (tmp_path / "client_profile").glob("part-*"))
-    assert text.startswith("# Profil client cible\n\n")
+    assert text.startswith("# Who buys the top products\n\n")
 
 
 def test_failing_completions_become_blank(spark):
