@@ -7,14 +7,13 @@ value. Bands of bins are bucket keys.
 
 * Documents with equal shingle sets become one class first, merged map-side,
   so a group of copies that holds a third of all rows is one node.
-* A bucket gives star edges only: every member to one centre that a hash
-  chooses anew in each bucket. So candidates grow with the rows, and a member
-  meets different centres in the bands that it shares with others.
+* A bucket gives star edges only: every member to the member with the least
+  hash. So candidates grow with the rows, and the buckets of a family of edited
+  copies, which share nearly all members, agree in few centres.
 * The signature drops a pair only when its estimate is five standard
   deviations below the threshold; every link is confirmed on full shingle sets.
 * Each document is first checked against its most frequent centre in a quarter
-  of the bands. From then on only pairs of different groups are candidates:
-  stars with centres drawn anew run over all buckets while a round finds many links.
+  of the bands, which connects most groups.
 * What is left in buckets of several groups is joined exactly. A node becomes its
   difference to the bucket's centre. By the triangle inequality two linked nodes
   of which one is not linked to the centre share a part of their differences, so
@@ -40,10 +39,6 @@ from shelfwise.staging import drop_stage, stage
 BINS, ROWS_PER_BAND = 128, 4
 #: Bands of the first round, which connects most groups.
 FIRST_BANDS = 8
-#: Centres that the second round draws in each bucket; every further round draws twice as many, up to the last number.
-DRAWS, MOST_DRAWS = 2, 16
-#: Stars go on while a round finds a link for one in so many nodes; the exact join finds what they leave.
-STAR_SHARE = 1000
 #: Counters of the sketch that orders elements by rarity, and values that a written batch holds.
 SLOT_BITS, BATCH_VALUES = 20, 1_000_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -133,37 +128,27 @@ def _likely(percent: int):
                            for c in ("sig", "c_sig"))
             drawn = np.minimum(BINS, np.minimum(*(batch.column(c).to_numpy() for c in ("n", "c_n"))))
             least = goal - 5 * np.sqrt(goal * (1 - goal) / drawn)
-            yield batch.select(["node", "centre"]).filter(pa.array((left == right).mean(axis=1) >= least))
+            yield batch.select(["node", "centre", "times"]).filter(pa.array((left == right).mean(axis=1) >= least))
     return run
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v, times) of star rows (node, n, sig, centre, c_n, c_sig) whose set sizes and signatures allow the threshold."""
-    sized = rows.where(F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent)
-    likely = sized.select("node", "n", "sig", "centre", "c_n", "c_sig").mapInArrow(_likely(percent), "node bigint, centre bigint")
-    return likely.groupBy(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).agg(
-        F.count("*").alias("times"))
-
-
-def _stars(members: DataFrame, percent: int) -> DataFrame:
-    """One star a bucket: every member with the bucket's centre."""
-    centre = members.groupBy("bucket").agg(
-        F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "n", "sig")).alias("c")).select(
-        "bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.sig").alias("c_sig"))
-    return _pairs(members.join(centre, "bucket").where("node <> centre"), percent)
+def _stars(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(u, v, times): every member of a bucket with its centre, where set sizes and signatures allow the threshold.
 
-
-def _stars_across(members: DataFrame, group: DataFrame, salts: list[int], percent: int) -> DataFrame:
-    """A star a bucket and salt: every member with the centre of the draw, if they are of different groups."""
-    placed = members.join(group, "node")
-    draws = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(s)).alias("h"), "node", "component", "n", "sig")).alias(f"c{s}")
-             for s in salts]
-    centres = placed.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), *draws).where("low <> high").select(
-        "bucket", F.explode(F.array_distinct(F.array(*[F.struct(
-            F.col(f"c{s}.node").alias("centre"), F.col(f"c{s}.component").alias("own"), F.col(f"c{s}.n").alias("c_n"),
-            F.col(f"c{s}.sig").alias("c_sig")) for s in salts]))).alias("c")).select("bucket", "c.*")
-    return _pairs(placed.join(centres, "bucket").where("component <> own"), percent)
+    The centre is the node with the least hash, so the buckets of a family
+    agree in few centres. Sizes and signatures meet distinct pairs only.
+    """
+    centre = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"))
+    met = members.join(centre.select("bucket", F.col("c.node").alias("centre")), "bucket").where("node <> centre").groupBy(
+        "node", "centre").agg(F.count("*").alias("times"))
+    known = classes.select("node", "n", "sig")
+    sized = met.join(known, "node").join(known.select(
+        F.col("node").alias("centre"), F.col("n").alias("c_n"), F.col("sig").alias("c_sig")), "centre").where(
+        F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent)
+    likely = sized.select("node", "centre", "times", "n", "sig", "c_n", "c_sig").mapInArrow(
+        _likely(percent), "node bigint, centre bigint, times bigint")
+    return likely.groupBy(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).agg(
+        F.sum("times").alias("times"))
 
 
 def _linked(edges: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
@@ -268,7 +253,7 @@ def _confirm_apart(percent: int):
     return run
 
 
-def _finished(members: DataFrame, group: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+def _finished(members: DataFrame, sizes: DataFrame, group: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
     """The groups after all links between nodes that share a bucket.
 
     Only buckets of several groups matter. Their centre is the node with the
@@ -276,15 +261,19 @@ def _finished(members: DataFrame, group: DataFrame, bodies: DataFrame, size: int
     """
     centres = members.join(group, "node").groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("c")).where("low <> high").select(
-        "bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"))
-    near = stage(members.select("node", "n", "bucket").join(centres, "bucket").where("node <> centre").select(
-        "node", "n", "centre", "c_n").distinct(), "minhash-open")
+        F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c")).where("low <> high").select(
+        "bucket", F.col("c.node").alias("centre"))
+    open_buckets = members.join(centres, "bucket").where("node <> centre").select("node", "centre").distinct()
+    near = stage(open_buckets.join(sizes, "node").join(
+        sizes.select(F.col("node").alias("centre"), F.col("n").alias("c_n")), "centre").select("node", "n", "centre", "c_n"),
+        "minhash-open")
     both = near.join(bodies.select("node", F.col("text").alias("u_text")).hint("merge"), "node").join(
         bodies.select(F.col("node").alias("centre"), F.col("text").alias("v_text")).hint("merge"), "centre")
     apart = stage(both.mapInArrow(_differences(size, percent),
                                   "node bigint, centre bigint, n bigint, c_n bigint, linked boolean, d array<bigint>"),
                   "minhash-differences")
+    drop_stage(near)
+    every = apart
     group = stage(_merged(group, apart.where("linked").select(F.col("centre").alias("u"), F.col("node").alias("v"))),
                   "minhash-groups")
     placed = apart.select("node", "centre", "linked").join(group, "node")
@@ -301,7 +290,8 @@ def _finished(members: DataFrame, group: DataFrame, bodies: DataFrame, size: int
                                     "rest bigint, short boolean, e bigint"), "minhash-rare")
     several = rare.groupBy("centre", "f").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("centre", "f")
-    rare = stage(rare.join(several.hint("merge"), ["centre", "f"]), "minhash-rare")
+    first, rare = rare, stage(rare.join(several.hint("merge"), ["centre", "f"]), "minhash-rare")
+    drop_stage(first)
     a, b = rare.where("NOT linked").alias("a"), rare.alias("b")
     met = a.hint("merge").join(b, F.expr(
         "a.centre = b.centre AND a.f = b.f AND a.component <> b.component"
@@ -315,6 +305,8 @@ def _finished(members: DataFrame, group: DataFrame, bodies: DataFrame, size: int
                   .join(apart.select(F.col("node").alias("v"), "centre", F.col("d").alias("v_d")).hint("merge"),
                         ["v", "centre"])
                   .mapInArrow(_confirm_apart(percent), "u bigint, v bigint"), "minhash-links")
+    for done in (every, rare, pairs):
+        drop_stage(done)
     return stage(_merged(group, links), "minhash-groups")
 
 
@@ -347,31 +339,22 @@ def components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int)
             F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"),
             F.any_value("sig").alias("sig"))
         .select(F.monotonically_increasing_id().alias("node"), "set_key", "key", "n", "bands", "sig"), "minhash-classes")
-    members = classes.select("node", "n", "sig", F.posexplode("bands").alias("band", "bucket"))
+    members = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
     members = stage(members.join(shared.hint("merge"), "bucket"), "minhash-buckets")
     nodes = stage(members.select("node").distinct(), "minhash-nodes")
     bodies = stage(rows.join(classes.select("node", "key").join(nodes, "node").hint("merge"), "key")
                    .groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
 
-    edges = _stars(members.where(F.col("band") < FIRST_BANDS), percent)
+    edges = _stars(members.where(F.col("band") < FIRST_BANDS), classes, percent)
     by_end = edges.select("u", "v", "times", F.explode(F.array("u", "v")).alias("node"))
     tested = stage(by_end.groupBy("node").agg(F.max(F.struct("times", "u", "v")).alias("e")).select("e.u", "e.v").distinct(),
                    "minhash-tested")
     links = stage(_linked(tested, bodies, size, percent), "minhash-links")
     group = stage(connected_components(nodes, links), "minhash-groups")
-    n_nodes = nodes.count()
-    salt, draws, found = 1, DRAWS, n_nodes
-    while found and found * STAR_SHARE >= n_nodes:
-        across = _stars_across(members, group, list(range(salt, salt + draws)), percent)
-        todo = stage(across.join(tested, ["u", "v"], "left_anti").select("u", "v"), "minhash-tested")
-        links = stage(_linked(todo, bodies, size, percent), "minhash-links")
-        found = links.count()
-        was, group = group, stage(_merged(group, links), "minhash-groups")
-        drop_stage(was)
-        drop_stage(links)
-        tested, salt, draws = tested.unionByName(todo), salt + draws, min(2 * draws, MOST_DRAWS)
-    group = _finished(members, group, bodies, size, percent)
+    drop_stage(tested)
+    drop_stage(links)
+    group = _finished(members.select("node", "bucket"), classes.select("node", "n"), group, bodies, size, percent)
     drop_stage(bodies)
     drop_stage(members)
     final = classes.select("node").join(group, "node", "left").select("node", F.coalesce("component", "node").alias("root"))
