@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators import lloyd
 from shelfwise.operators.stats import exact_quantiles, known, scalars
 
 SEED = 42
@@ -27,26 +27,31 @@ def silhouette(labelled: DataFrame, label: str = "cluster", keep_noise: bool = T
     return ClusteringEvaluator(predictionCol="_label").evaluate(codes)
 
 
-def best_kmeans(df: DataFrame, k: int, n_init: int = 10, seed: int = SEED) -> KMeansModel:
-    """Lowest-cost model out of ``n_init`` seeds. Stage ``df`` first."""
-    models = (KMeans(k=k, seed=seed + i, predictionCol="cluster").fit(df) for i in range(n_init))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def best_kmeans(df: DataFrame, k: int, n_init: int = 10, seed: int = SEED) -> lloyd.Fit:
+    """The fit of least cost out of ``n_init`` starts, which take their steps together."""
+    points = lloyd.points_of(df)
+    return lloyd.best_of(lloyd.fit_all(points, lloyd.starts(points, [(k, i) for i in range(n_init)], seed)))[k]
 
 
 def sweep_limit(rows: int, cap: int = 10, per_cluster: int = 5) -> int:
     return min(cap, rows // per_cluster)
 
 
-def k_sweep(df: DataFrame, k_max: int | None = None, k_min: int = 2, n_init: int = 10) -> DataFrame:
-    """Inertia and silhouette per k; ``best`` marks the highest silhouette."""
-    limit = sweep_limit(df.count()) if k_max is None else k_max
-    rows = []
-    for k in range(k_min, limit + 1):
-        model = best_kmeans(df, k, n_init)
-        rows.append((k, round(model.summary.trainingCost, 2), round(silhouette(model.transform(df)), 4)))
-    best = max(rows, key=lambda r: r[2])[0] if rows else None
+def k_sweep(df: DataFrame, k_max: int | None = None, k_min: int = 2, n_init: int = 10, seed: int = SEED) -> DataFrame:
+    """Inertia and silhouette per k; ``best`` marks the highest silhouette.
+
+    All models of all k take their steps together; the best of every k are
+    then judged together.
+    """
+    points = lloyd.points_of(df)
+    limit = sweep_limit(points.count()) if k_max is None else k_max
+    models = [(k, i) for k in range(k_min, limit + 1) for i in range(n_init)]
+    best = lloyd.best_of(lloyd.fit_all(points, lloyd.starts(points, models, seed))) if models else {}
+    scores = lloyd.squared_silhouettes(points, best)
+    rows = [(k, round(fit.cost, 2), round(scores[k], 4)) for k, fit in sorted(best.items())]
+    top = max(rows, key=lambda r: r[2])[0] if rows else None
     return df.sparkSession.createDataFrame(
-        [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, best boolean")
+        [(*r, r[0] == top) for r in rows], "k int, inertia double, silhouette double, best boolean")
 
 
 def name_clusters(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster, components, density, hierarchy, kdtree
+from shelfwise.operators import cluster, components, density, hierarchy, kdtree, lloyd
 from shelfwise.plans import catalogue
 from shelfwise.staging import stage
 
@@ -141,6 +141,36 @@ def test_sweep_and_kmeans(spark, folder):
     assert all(-1 < r.silhouette <= 1 for r in found)
 
 
+def plain_lloyd(x, centres):
+    while True:
+        own = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        new = np.array([x[own == c].mean(0) if (own == c).any() else centres[c] for c in range(len(centres))])
+        if ((new - centres) ** 2).sum(1).max() <= lloyd.TOLERANCE ** 2:
+            return centres, ((x - centres[own]) ** 2).sum()
+        centres = new
+
+
+def test_models_that_step_together_end_like_single_ones(spark):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(c, .5, (80, 3)) for c in ((0, 0, 0), (4, 0, 1), (0, 5, 5))] + [np.zeros((5, 3))])
+    df = frame(spark, x)
+    points = lloyd.points_of(df.repartition(3))
+    begin = lloyd.starts(points, [(2, 0), (3, 0), (3, 1), (6, 0)], 42)
+    begin[4, 9] = np.vstack([x[:3], [[99.0, 99.0, 99.0]]])  # the last centre never gets a point
+    together = lloyd.fit_all(points, begin)
+    for m, start in begin.items():
+        centres, cost = plain_lloyd(x, start)
+        assert np.allclose(together[m].centres, centres, atol=1e-9) and abs(together[m].cost - cost) < 1e-6
+    assert len({f.steps for f in together.values()}) > 1
+    best = lloyd.best_of(together)
+    assert best[3].cost == min(together[3, 0].cost, together[3, 1].cost)
+    scores = lloyd.squared_silhouettes(points, best)
+    for k in (2, 3, 6):
+        labelled = best[k].transform(df)
+        assert abs(scores[k] - cluster.silhouette(labelled)) < 1e-9
+    assert (labels_of(best[3].transform(df), "cluster") == ((x[:, None] - best[3].centres[None]) ** 2).sum(-1).argmin(1)).all()
+
+
 def test_names(spark):
     rows = ([(0, 100.0, 4.0, 10, 0.0)] * 3 + [(1, 1.0, 4.0, 100, 30.0)] * 6 + [(2, 1.0, 4.5, 300, 0.0)] * 6
             + [(3, 1.0, 3.0, 10, 0.0)] * 6 + [(4, 1.0, 3.0, 100, 0.0)] * 6 + [(-1, 1.0, 3.0, 100, 0.0)])
