@@ -8,8 +8,8 @@ comparison of all words confirms an occurrence.
 
 * Documents are searched where they are read: no shuffle, no partition state.
 * The benchmark is split by item into blocks of bounded bytes, and each block
-  is one pass of the same scan. So any benchmark works, and what a worker
-  holds stays bounded.
+  is one pass; between two passes the rows are written out. So any benchmark
+  works, and what driver and workers hold stays bounded.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.batches import texts, with_computed
+from shelfwise.staging import drop_stage, stage
 
 WINDOW = 10
 #: Bytes of item text whose tables a worker holds at a time.
@@ -116,21 +117,20 @@ def _search_block(items: list[tuple[str, str]], size: int):
             ranges, found = hits_in(words, tables)
             n_words.append(len(words))
             spans.append(merged([*map(tuple, old_spans.as_py()), *map(tuple, ranges)]))
-            ids.append(sorted({*old_ids.as_py(), *found}))
+            ids.append(sorted({*old_ids.as_py(), *(i for i in found if i is not None)}))
         return [n_words, spans, ids]
 
     return arrays
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """Items with an id and a text, in blocks of about ``block_bytes`` bytes, chosen by a hash of the id."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where(
-        "id is not null and text is not null")
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
+    """Items with a text, in blocks of about ``block_bytes`` bytes, chosen by a hash; the driver holds one at a time."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     for number in range(count):
-        block = items.where(F.pmod(F.xxhash64("id"), F.lit(count)) == number) if count > 1 else items
-        yield [tuple(r) for r in block.collect()]  # bounded: one block at a time
+        block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == number) if count > 1 else items
+        yield [tuple(r) for r in block.collect()]
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -139,14 +139,23 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id
 
     ``spans`` are merged word ranges [start, end) inside occurrences of a
     window; ``items`` the ids, as sorted strings, of items with a window that
-    occurs. Null and empty texts have no words and no hits. Items without id or
-    words are no items; rows that repeat an item_id are one item. All columns
-    of ``docs`` stay inside ``row``, so names cannot clash.
+    occurs. Null and empty texts have no words and no hits. Items without words
+    are no items; words inside windows of items without an id are hit, but such
+    items are not listed; rows that repeat an item_id are one item. All columns
+    of ``docs`` stay inside ``row``, so names cannot clash. With several blocks
+    the rows are written out after each, so a worker holds one block's tables
+    and the plan does not grow.
     """
     found = docs.select(
         F.struct("*").alias("row"), F.col(text).alias("text"), F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    for block in item_blocks(benchmark, item_id, item_text, block_bytes):
+    staged = None
+    for number, block in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
+        if number:
+            before, staged = staged, stage(found, "benchmark-block")
+            found = staged
+            if before is not None:
+                drop_stage(before)
         found = with_computed(found, "n_words bigint, spans array<array<int>>, items array<string>",
                               _search_block(block, size))
     return found.drop("text")

@@ -1,15 +1,17 @@
 """Repeated runs of lines, found by winnowing over line hashes. DataFrame functions only.
 
-* A gram is the shortest run of lines from a line on that has ``noise`` words.
+* A gram is the shortest run of lines from a line with words on that has
+  ``noise`` words; blank lines inside it count for its hash, but have no words.
   Of the grams that start within ``guarantee - noise`` words the least hash is
   the window's fingerprint. So two runs of at least ``guarantee`` equal words
   share a fingerprint, and nothing under ``noise`` words ever matches.
 * A fingerprint's first occurrence comes from an aggregation that merges
   map-side; every other occurrence joins that one position, so a passage that
   a third of all documents share makes one pair a copy.
-* Matches on one diagonal are one run, and only its two ends are extended, line
-  by line. Context is read for the matched documents only. Each deleted line
-  has an equal, earlier line.
+* Matches on one diagonal are one run, and only its two ends are extended until
+  the lines differ: first by up to ``REACH`` lines, whose context is read for the
+  matched documents only, and what still agrees then by twice as many lines a
+  round. Each deleted line has an equal, earlier line.
 * Windows run inside one document; joins on hot fingerprints are left to the
   adaptive skew split.
 """
@@ -19,12 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.staging import stage
+from shelfwise.staging import drop_stage, stage
 
 NOISE, GUARANTEE = 40, 50
-#: Weight of a word; a line weighs one more, so starts rise strictly and blank lines count little.
-WORD = 4
-#: Lines to which one match is extended each way; longer runs have further fingerprints.
+#: Lines by which a run's ends are extended at first; every further round takes twice as many.
 REACH = 64
 
 
@@ -35,26 +35,37 @@ def document_key(doc_id: str, text: str) -> Column:
 
 
 def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, pos, h, start, total) of every line of every document."""
+    """(doc, pos, h, words, start, total, place) of every line of every document.
+
+    ``start`` are the words before the line, ``total`` those of the document;
+    ``place`` counts the lines with words before it, so blank lines share the
+    place of the next line with words.
+    """
     lines = docs.select(document_key(doc_id, text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     own = Window.partitionBy("doc")
     before = own.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return (lines.select("doc", "pos", F.md5("line").alias("h"),
-                         (F.regexp_count("line", F.lit(r"\S+")) * WORD + 1).cast("bigint").alias("weight"))
+    return (lines.select("doc", "pos", F.md5("line").alias("h"), F.regexp_count("line", F.lit(r"\S+")).cast("bigint").alias("words"))
             .repartition("doc").distinct()
-            .select("doc", "pos", "h", F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("start"),
-                    F.sum("weight").over(own).alias("total")))
+            .select("doc", "pos", "h", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"),
+                    F.sum("words").over(own).alias("total"),
+                    F.coalesce(F.sum(F.when(F.col("words") > 0, 1).otherwise(0)).over(before), F.lit(0)).alias("place")))
 
 
 def fingerprints(lines: DataFrame, noise: int, guarantee: int) -> DataFrame:
     """(doc, gram, pos, lines): the window minima of every document."""
+    with_words = F.col("words") > 0
+    blank = F.sort_array(F.collect_list(F.when(~with_words, F.struct("pos", "h"))))
+    marked = lines.groupBy("doc", "place").agg(
+        F.when(F.size(blank) > 0, F.md5(F.array_join(blank["h"], "."))).otherwise("").alias("blank"),
+        *[F.max(F.when(with_words, F.col(c))).alias(c) for c in ("pos", "h", "start", "total")]).where("pos IS NOT NULL")
     order = Window.partitionBy("doc").orderBy("start")
-    grams = lines.withColumn("hashes", F.collect_list("h").over(order.rangeBetween(0, noise * WORD - 1))).select(
-        "doc", "start", "total", F.struct(F.md5(F.concat_ws(",", "hashes")).alias("gram"), "pos",
-                                          F.size("hashes").alias("lines")).alias("g"))
-    least = F.min("g").over(order.rangeBetween(0, (guarantee - noise) * WORD))
-    return grams.withColumn("f", least).where(F.col("total") - F.col("start") >= guarantee * WORD).select(
-        "doc", "f.*").distinct()
+    run = order.rangeBetween(0, noise - 1)
+    parts = F.transform("run", lambda x, i: F.when(i == 0, x["h"]).otherwise(F.concat(x["blank"], F.lit(","), x["h"])))
+    grams = marked.withColumns({"run": F.collect_list(F.struct("blank", "h")).over(run), "last": F.max("pos").over(run)}).select(
+        "doc", "start", "total", F.struct(F.md5(F.array_join(parts, ";")).alias("gram"), "pos",
+                                          (F.col("last") - F.col("pos") + 1).alias("lines")).alias("g"))
+    least = F.min("g").over(order.rangeBetween(0, guarantee - noise))
+    return grams.withColumn("f", least).where(F.col("total") - F.col("start") >= guarantee).select("doc", "f.*").distinct()
 
 
 def _agree(a: str, b: str) -> Column:
@@ -84,6 +95,18 @@ def _contexts(lines: DataFrame, ends: DataFrame) -> DataFrame:
     return around.select("doc", "pos", F.explode(F.array_compact(sides)).alias("s")).select("doc", "pos", "s.*")
 
 
+def _further(lines: DataFrame, ends: DataFrame, reach: int) -> DataFrame:
+    """``ends`` with the number n of equal lines beyond them, at most ``reach``; line by line, for few ends."""
+    side = F.when(F.col("left"), -1).otherwise(1)
+    steps = ends.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(reach)))).withColumns(
+        {"p": F.col("pos") + side * F.col("k"), "p0": F.col("pos0") + side * F.col("k")})
+    own = lines.select("doc", F.col("pos").alias("p"), F.col("h").alias("a"))
+    met = steps.join(own, ["doc", "p"], "left").join(
+        own.select(F.col("doc").alias("doc0"), F.col("p").alias("p0"), F.col("a").alias("b")), ["doc0", "p0"], "left")
+    differs = F.min(F.when(~F.coalesce(F.col("a") == F.col("b"), F.lit(False)), F.col("k")))
+    return met.groupBy("doc", "pos", "left", "doc0", "pos0").agg((F.coalesce(differs, F.lit(reach + 1)) - 1).alias("n"))
+
+
 def repeated_lines(lines: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
     """(doc, spans): ranges [first, last] of line positions that repeat an earlier run."""
     found = stage(fingerprints(lines, noise, guarantee), "winnow-fingerprints")
@@ -103,12 +126,23 @@ def repeated_lines(lines: DataFrame, noise: int = NOISE, guarantee: int = GUARAN
 
     ends = stage(ends_of("a", True).unionByName(ends_of("b", False)), "winnow-ends")
     context = stage(_contexts(lines, ends), "winnow-context")
-    met = ends.join(context, ["doc", "pos", "left"]).join(
+    met = stage(ends.join(context, ["doc", "pos", "left"]).join(
         context.select(F.col("doc").alias("doc0"), F.col("pos").alias("pos0"), "left", F.col("near").alias("near0")),
-        ["doc0", "pos0", "left"]).select("doc", "pos", "left", _agree("near", "near0").alias("n"))
-    spans = runs.select("doc", "a", "b").unionByName(met.select(
-        "doc", F.when(F.col("left"), F.col("pos") - F.col("n")).otherwise(F.col("pos")).alias("a"),
-        F.when(F.col("left"), F.col("pos")).otherwise(F.col("pos") + F.col("n")).alias("b"))).distinct()
+        ["doc0", "pos0", "left"]).select("doc", "pos", "left", "doc0", "pos0", _agree("near", "near0").alias("n")), "winnow-met")
+    drop_stage(context)
+    spans, reach, side = runs.select("doc", "a", "b"), REACH, F.when(F.col("left"), -1).otherwise(1)
+    while True:
+        spans = spans.unionByName(met.select(
+            "doc", F.when(F.col("left"), F.col("pos") - F.col("n")).otherwise(F.col("pos")).alias("a"),
+            F.when(F.col("left"), F.col("pos")).otherwise(F.col("pos") + F.col("n")).alias("b")))
+        going = met.where(F.col("n") == reach).select(
+            "doc", (F.col("pos") + side * F.col("n")).alias("pos"), "left", "doc0", (F.col("pos0") + side * F.col("n")).alias("pos0")
+        ).distinct()
+        if going.isEmpty():
+            break
+        reach *= 2
+        met = stage(_further(lines, going, reach), "winnow-met")
+    spans = spans.distinct()
     by_start = Window.partitionBy("doc").orderBy("a", "b")
     reached = F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.select("doc", "a", "b", F.when(F.col("a") <= reached + 1, 0).otherwise(1).alias("new")).select(

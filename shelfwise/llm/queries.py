@@ -50,7 +50,7 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op4_decontaminate"] = r"""
 WITH iw AS (SELECT item_id::VARCHAR AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-            FROM benchmark WHERE item_id IS NOT NULL),
+            FROM benchmark),
 win AS (SELECT DISTINCT id, array_to_string(list_slice(w, i, i + 9), ' ') AS win, least(len(w), 10) AS n
         FROM (SELECT id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM iw WHERE len(w) > 0)),
 dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -123,28 +123,32 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op6_line_dedup"] = r"""
-WITH l AS (SELECT doc_id, i - 1 AS pos, ls[i] AS line, md5(ls[i]) AS h,
-                  len(regexp_extract_all(ls[i], '[^ \t\n\x0B\f\r]+')) * 4 + 1 AS w
+WITH RECURSIVE l AS (SELECT doc_id, i - 1 AS pos, ls[i] AS line, md5(ls[i]) AS h,
+                  len(regexp_extract_all(ls[i], '[^ \t\n\x0B\f\r]+')) AS w
            FROM (SELECT doc_id, string_split(text, chr(10)) AS ls,
                         unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)),
-s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-                         0)::BIGINT AS start, sum(w) OVER (PARTITION BY doc_id) AS total FROM l),
-g AS (SELECT doc_id, pos, start, total, md5(string_agg(h, ',') OVER r) AS gram, count(*) OVER r AS lines FROM s
-      WINDOW r AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 159 FOLLOWING)),
+s AS (SELECT *, coalesce(sum(w) OVER before, 0)::BIGINT AS start, sum(w) OVER (PARTITION BY doc_id) AS total,
+             coalesce(sum((w > 0)::INT) OVER before, 0)::BIGINT AS place FROM l
+      WINDOW before AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+blank AS (SELECT doc_id, place, md5(string_agg(h, '.' ORDER BY pos)) AS blank FROM s WHERE w = 0 GROUP BY 1, 2),
+worded AS (SELECT s.*, coalesce(blank, '') AS blank FROM s LEFT JOIN blank USING (doc_id, place) WHERE w > 0),
+g AS (SELECT doc_id, pos, start, total, list({'blank': blank, 'h': h}) OVER r AS run, max(pos) OVER r - pos + 1 AS lines FROM worded
+      WINDOW r AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 39 FOLLOWING)),
+gs AS (SELECT doc_id, pos, start, total, lines, md5(array_to_string(list_transform(run, lambda x, i:
+              CASE WHEN i = 1 THEN x.h ELSE x.blank || ',' || x.h END), ';')) AS gram FROM g),
 m AS (SELECT doc_id, start, total, min({'gram': gram, 'pos': pos, 'lines': lines}) OVER (
-             PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 40 FOLLOWING) AS f FROM g),
-f AS (SELECT DISTINCT doc_id, f.gram AS gram, f.pos AS pos, f.lines AS lines FROM m WHERE total - start >= 200),
+             PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 10 FOLLOWING) AS f FROM gs),
+f AS (SELECT DISTINCT doc_id, f.gram AS gram, f.pos AS pos, f.lines AS lines FROM m WHERE total - start >= 50),
 o AS (SELECT *, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY gram) AS first FROM f),
 p AS (SELECT doc_id, pos, lines, first.d AS doc0, first.p AS pos0 FROM o WHERE doc_id <> first.d OR pos <> first.p),
-k AS (SELECT unnest(generate_series(1, 65)) AS k),
-lf AS (SELECT p.doc_id, p.pos, min(k) - 1 AS n FROM p CROSS JOIN k
-       LEFT JOIN s a ON a.doc_id = p.doc_id AND a.pos = p.pos - k
-       LEFT JOIN s b ON b.doc_id = p.doc0 AND b.pos = p.pos0 - k
-       WHERE k = 65 OR a.h IS NULL OR b.h IS NULL OR a.h <> b.h GROUP BY 1, 2),
-rt AS (SELECT p.doc_id, p.pos, min(k) - 1 AS n FROM p CROSS JOIN k
-       LEFT JOIN s a ON a.doc_id = p.doc_id AND a.pos = p.pos + p.lines - 1 + k
-       LEFT JOIN s b ON b.doc_id = p.doc0 AND b.pos = p.pos0 + p.lines - 1 + k
-       WHERE k = 65 OR a.h IS NULL OR b.h IS NULL OR a.h <> b.h GROUP BY 1, 2),
+lefts AS (SELECT doc_id, pos, doc0, pos0, 0 AS n FROM p
+  UNION ALL SELECT e.doc_id, e.pos, doc0, pos0, n + 1 FROM lefts e JOIN s a ON a.doc_id = e.doc_id AND a.pos = e.pos - n - 1
+  JOIN s b ON b.doc_id = doc0 AND b.pos = pos0 - n - 1 AND a.h = b.h),
+rights AS (SELECT doc_id, pos, lines, doc0, pos0, 0 AS n FROM p
+  UNION ALL SELECT e.doc_id, e.pos, lines, doc0, pos0, n + 1 FROM rights e JOIN s a ON a.doc_id = e.doc_id AND a.pos = e.pos + lines + n
+  JOIN s b ON b.doc_id = doc0 AND b.pos = pos0 + lines + n AND a.h = b.h),
+lf AS (SELECT doc_id, pos, max(n) AS n FROM lefts GROUP BY 1, 2),
+rt AS (SELECT doc_id, pos, max(n) AS n FROM rights GROUP BY 1, 2),
 gone AS (SELECT DISTINCT p.doc_id, unnest(generate_series(p.pos - lf.n, p.pos + lines - 1 + rt.n)) AS pos
          FROM p JOIN lf USING (doc_id, pos) JOIN rt USING (doc_id, pos)),
 isl AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone),

@@ -204,6 +204,56 @@ def test_every_long_repetition_is_deleted(spark):
             seen_lines.add(line)
 
 
+def test_runs_go_on_to_the_first_difference_and_blank_lines_are_no_words(spark):
+    long, end = _line(1, 60), _line(2, 5)
+    few = [f"one{k}" for k in range(32)]
+    docs = [(1, "\n".join([long, *[""] * 100, end])), (2, "\n".join([long, *[""] * 100, end])),
+            (3, "\n".join([*[""] * 300, end, long, *[" "] * 200, end])),       # other blank lines: one line is the same
+            (4, "\n" * 205), (5, "\n" * 205), (6, "\n".join(few)), (7, "\n".join(few)),
+            (8, "\n".join([_line(3, 9), *[""] * 150, _line(4, 9), "", _line(5, 33)])),
+            (9, "\n".join(["x", _line(3, 9), *[""] * 150, _line(4, 9), "", _line(5, 33), "y"]))]  # 51 words, a long gap
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {r.doc_id: r.removed for r in linedup.line_report(frame).collect()}
+    assert out == {1: "", 2: "0-101", 3: "301-301", 4: "", 5: "", 6: "", 7: "", 8: "", 9: "1-154"}
+
+
+def _whole_runs(docs):
+    """Lines that lie in a run of at least 50 words which occurs earlier, whole to the first difference; by trying all pairs."""
+    gone = {i: set() for i, _ in docs}
+    for n, (i, text) in enumerate(docs):
+        for other in docs[:n + 1]:
+            for shift in range(-len(other[1]), len(text)):
+                if other[0] == i and shift <= 0:
+                    continue
+                run = []
+                for p in [*range(len(text)), None]:
+                    if p is not None and 0 <= p - shift < len(other[1]) and text[p] == other[1][p - shift]:
+                        run.append(p)
+                        continue
+                    if sum(len(text[q].split()) for q in run) >= 50:
+                        gone[i] |= set(run)
+                    run = []
+    return gone
+
+
+def test_whole_runs_of_distinct_passages(spark):
+    """Where a passage has one earlier place, all of its run goes, as trying all pairs of places finds it."""
+    draw = random.Random(12)
+    docs, passages = [], [[_line(100 * k + j, draw.choice([0, 0, 2, 9, 14])) for j in range(draw.randint(8, 90))] for k in range(6)]
+    for i in range(12):
+        text = []
+        for k in draw.sample(range(6), 2) if i < 3 else [draw.randrange(6)]:
+            text += [_line(10_000 + 100 * i + k, 3)] + (passages[k] if i else [x for p in passages for x in [*p, _line(20_000, 1)]])
+        docs.append((i, text))
+    frame = spark.createDataFrame([(i, "\n".join(t)) for i, t in docs], "doc_id long, text string")
+    got = {i: {p for s in filter(None, r.split(",")) for p in range(int(s.split("-")[0]), int(s.split("-")[1]) + 1)}
+           for i, r in linedup.line_report(frame).select("doc_id", "removed").collect()}
+    want = _whole_runs(docs)
+    assert sum(map(len, want.values())) > 200
+    # Documents after the first, where every passage has its first place.
+    assert {i: g for i, g in got.items() if i} == {i: w for i, w in want.items() if i}
+
+
 def test_rows_without_ids_lose_what_others_have(spark):
     long = _line(1, 60)
     frame = spark.createDataFrame([(None, long), (None, long), (3, long), (3, long)], "doc_id long, text string")
