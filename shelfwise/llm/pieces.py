@@ -5,10 +5,10 @@ Forward Viterbi gives the best score of every prefix. Backward A-star search
 uses those as exact heuristics, so it takes paths out in order of their score.
 
 * No piece holds a word start after other characters, and none holds a line
-  end, so a text's lattice falls apart into words. Distinct words are solved
-  once, many at a time as columns of one forward pass, and remembered in a
-  bounded table; the best segmentations of a text are merged from the few
-  words with the closest second choice.
+  end, so a text's lattice falls apart into words. The distinct words of a
+  batch are solved together as columns of one forward pass, in which a place
+  is looked up only while a piece begins so; the best segmentations of a text
+  are merged from the few words with the closest second choice.
 * Further segmentations are stored as edits of the best one, so N of them cost
   little more than one.
 * One pass over the scan, no shuffle. Output batches are bounded by pieces.
@@ -79,27 +79,41 @@ class Remembered:
         return value
 
 
+class Solved(NamedTuple):
+    """Best segmentations of words: ids of all, and where they start, how many they are, score and gap of each."""
+
+    ids: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    score: np.ndarray
+    gap: np.ndarray
+
+
 class PieceTable:
-    """Pieces by a hash of their characters, for words of one length at a time."""
+    """Pieces and their beginnings by a hash of their characters, for words of one length at a time."""
 
     BASE, BITS = np.uint64(0x9E3779B97F4A7C15), 20
 
     def __init__(self, ids: dict[str, int], scores: list[int]):
-        self.longest = max(map(len, ids))
         self.codes = np.zeros(1 << self.BITS, np.uint64)
-        self.ids = np.full(1 << self.BITS, -1, np.int32)
+        self.used = np.zeros(1 << self.BITS, bool)
+        self.ids = np.full(1 << self.BITS, -1, np.int32)  # a beginning that is no piece keeps -1
         self.scores = np.zeros(1 << self.BITS, np.int64)
         by_length: dict[int, list[str]] = {}
-        for text in ids:
+        for text in {text[:end] for text in ids for end in range(1, len(text) + 1)}:
             by_length.setdefault(len(text), []).append(text)
+        if sum(map(len, by_length.values())) > 1 << (self.BITS - 1):
+            raise ValueError("the vocabulary is too large for the table")
         self.probes = 1
         for texts in by_length.values():
             codes = self._codes(self._points(texts))
             for text, code, slot in zip(texts, codes.tolist(), self._slot(codes).tolist()):
                 probes = 1
-                while self.ids[slot] >= 0:
+                while self.used[slot]:
                     slot, probes = (slot + 1) % (1 << self.BITS), probes + 1
-                self.codes[slot], self.ids[slot], self.scores[slot] = code, ids[text], scores[ids[text]]
+                self.used[slot], self.codes[slot] = True, code
+                if text in ids:
+                    self.ids[slot], self.scores[slot] = ids[text], scores[ids[text]]
                 self.probes = max(self.probes, probes)
 
     @staticmethod
@@ -117,57 +131,71 @@ class PieceTable:
         return ((codes * self.BASE) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
     def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(id or -1, score) of each code."""
+        """The slot of each code, and whether it holds the code."""
         slot = self._slot(codes)
-        for _ in range(self.probes):
-            miss = (self.codes[slot] != codes) & (self.ids[slot] >= 0)
-            if not miss.any():
-                break
-            slot = np.where(miss, (slot + 1) % (1 << self.BITS), slot)
         hit = self.codes[slot] == codes
-        return np.where(hit, self.ids[slot], -1), self.scores[slot]
+        away = np.flatnonzero(~hit & self.used[slot])
+        for _ in range(self.probes - 1):
+            if not len(away):
+                break
+            slot[away] = (slot[away] + 1) % (1 << self.BITS)
+            hit[away] = self.codes[slot[away]] == codes[away]
+            away = away[~hit[away] & self.used[slot[away]]]
+        return slot, hit & self.used[slot]
 
-    def search(self, words: list[str], length: int) -> list[tuple[bytes, int, int] | None]:
-        """Forward Viterbi over all words at once; None for words with a character that is no piece."""
-        points = self._points(words)
-        n = len(words)
-        ids, scores, code = {}, {}, np.zeros((n, length), np.uint64)
-        for size in range(1, min(self.longest, length) + 1):
-            code = (code[:, :length - size + 1] + points[:, size - 1:] + np.uint64(1)) * self.BASE
+    def _occurrences(self, words: list[str], length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For sizes 1, 2, ...: word, id and score of every piece in the words by its start, and where each start begins.
+
+        A place goes on to the next size only while a piece begins so.
+        """
+        n, out = len(words), []
+        points = np.ascontiguousarray(self._points(words).T).ravel()  # all first characters, all second ones, ...
+        place, code, size = np.arange(n * length), np.zeros(n * length, np.uint64), 0
+        while len(place):
+            code = (code + points[place + size * n] + np.uint64(1)) * self.BASE
             code ^= code >> np.uint64(31)
-            ids[size], scores[size] = self._find(code)
-            if size > 1 and (ids[size] < 0).all():
-                del ids[size], scores[size]
-        known = (ids[1] >= 0).all(axis=1)
+            size += 1
+            slot, hit = self._find(code)
+            place, code, slot = place[hit], code[hit], slot[hit]
+            whole = self.ids[slot] >= 0
+            at = place[whole]
+            out.append((at % n, self.ids[slot[whole]], self.scores[slot[whole]], np.searchsorted(at, np.arange(length + 1) * n)))
+            more = place < (length - size) * n
+            place, code = place[more], code[more]
+        return out
+
+    def search(self, words: list[str], length: int) -> tuple[np.ndarray, ...]:
+        """Forward Viterbi over all words at once: ids at the end of each row, their count, score, gap, and
+        whether all characters are pieces; the other words have no ids."""
+        n = len(words)
+        found = self._occurrences(words, length)
+        known = np.bincount(found[0][0], minlength=n) == length
         first = np.full((length + 1, n), -_NEVER, np.int64)
-        second, came = first.copy(), np.zeros((length + 1, n), np.int64)
+        second, came, piece = first.copy(), np.zeros((length + 1, n), np.int64), np.zeros((length + 1, n), np.int32)
         first[0] = 0
         for end in range(1, length + 1):
-            for size in sorted(ids, reverse=True):
+            best, next_, size_, piece_ = first[end], second[end], came[end], piece[end]
+            for size in range(min(end, len(found)), 0, -1):
                 start = end - size
-                if start < 0:
+                word, ids, scores, begins = found[size - 1]
+                own = slice(begins[start], begins[start + 1])
+                word, score = word[own], scores[own]
+                if not len(word):
                     continue
-                there = ids[size][:, start] >= 0
-                total = np.where(there, first[start] + scores[size][:, start], -_NEVER)
-                other = np.where(there, second[start] + scores[size][:, start], -_NEVER)
-                better = total > first[end]
-                second[end] = np.maximum(np.where(better, np.maximum(first[end], other), np.maximum(total, second[end])),
-                                         other)
-                came[end][better] = size
-                first[end][better] = total[better]
+                total, other, old = first[start][word] + score, second[start][word] + score, best[word]
+                better = total > old
+                next_[word] = np.maximum(np.where(better, old, np.maximum(total, next_[word])), other)
+                word = word[better]
+                best[word], size_[word], piece_[word] = total[better], size, ids[own][better]
         path, at, count = np.zeros((n, length), np.int32), np.full(n, length), np.zeros(n, np.int64)
         rows = np.flatnonzero(known)
         while len(rows):
-            size = came[at[rows], rows]
-            for one in np.unique(size):
-                own = rows[size == one]
-                path[own, length - 1 - count[own]] = ids[one][own, at[own] - one]
-            at[rows] -= size
             count[rows] += 1
+            path[rows, length - count[rows]] = piece[at[rows], rows]
+            at[rows] -= came[at[rows], rows]
             rows = rows[at[rows] > 0]
         gap = np.where(second[length] > -_NEVER // 2, first[length] - second[length], _NEVER)
-        return [(path[i, length - k:].tobytes(), total, far) if ok else None
-                for i, (k, total, far, ok) in enumerate(zip(count.tolist(), first[length].tolist(), gap.tolist(), known.tolist()))]
+        return path, count, first[length], gap, known
 
 
 class Segmenter:
@@ -273,21 +301,28 @@ class Segmenter:
         words = (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
         return [w for w in words if w] if "\n" in text else words
 
-    def solve(self, words: set[str]) -> dict[str, tuple[bytes, int, int]]:
-        """Ids as 32-bit numbers, score and gap of each word."""
-        out, by_length = {}, {}
-        get = self.words.get
-        for word in words:
-            found = get(word)
-            if found:
-                out[word] = found
-            else:
-                by_length.setdefault(len(word), []).append(word)
-        for length, todo in by_length.items():
-            done = self.table.search(todo, length) if length <= KEEP_CHARS else [None] * len(todo)
-            for word, found in zip(todo, done):
-                out[word] = self.words.put(word, found or self.search(word))
-        return out
+    def solve(self, words: list[str]) -> Solved:
+        """Words of one length are solved together; long ones and those with unknown characters one by one."""
+        n = len(words)
+        lengths, parts, held = np.fromiter(map(len, words), np.int64, n), [], 0
+        start, count, score, gap = (np.zeros(n, np.int64) for _ in range(4))
+        order = np.argsort(lengths, kind="stable")
+        cuts = np.flatnonzero(np.diff(lengths[order], prepend=-1, append=-1))
+        for low, high in zip(cuts.tolist(), cuts[1:].tolist()):
+            own, length = order[low:high], int(lengths[order[low]])
+            single = own
+            if length <= KEEP_CHARS:
+                path, count[own], score[own], gap[own], known = self.table.search([words[i] for i in own.tolist()], length)
+                ids = path[np.arange(length) >= length - count[own][:, None]]
+                start[own] = held + np.cumsum(count[own]) - count[own]
+                parts.append(ids)
+                held, single = held + len(ids), own[~known]
+            for i in single.tolist():
+                packed, score[i], gap[i] = self.words.get(words[i]) or self.words.put(words[i], self.search(words[i]))
+                ids = np.frombuffer(packed, np.int32)
+                start[i], count[i], held = held, len(ids), held + len(ids)
+                parts.append(ids)
+        return Solved(np.concatenate(parts) if parts else np.empty(0, np.int32), start, count, score, gap)
 
     def _choices(self, word: str) -> list[tuple[int, tuple[int, ...]]]:
         return self.choices.get(word) or self.choices.put(word, self.n_best(word, self.nbest))
@@ -295,23 +330,30 @@ class Segmenter:
     def encode_all(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, int, list[dict]]]:
         """For each text: ids, score, and the n best segmentations as edits (at, drop, ids) of the first."""
         chunked = [self.chunks(t) if t else [] for t in texts]
-        solved = self.solve(set().union(*chunked))
+        every = [w for words in chunked for w in words]
+        coded = pa.array(every, pa.large_string()).dictionary_encode()
+        word, place = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
+        place[word] = np.arange(len(every))
+        solved = self.solve([every[i] for i in place.tolist()])
+        count, scores, gaps = solved.count[word], solved.score[word], solved.gap[word]
+        begins = np.concatenate(([0], np.cumsum(count)))
+        ids = solved.ids[np.repeat(solved.start[word] - begins[:-1], count) + np.arange(begins[-1])]
+        done = 0
         for words in chunked:
-            yield self._merged(words, list(map(solved.__getitem__, words)))
+            last = done + len(words)
+            own = ids[begins[done]:begins[last]]
+            yield own, *self._merged(words, own, scores[done:last], gaps[done:last], begins[done:last + 1] - begins[done])
+            done = last
 
     def encode(self, text: str | None) -> tuple[np.ndarray, int, list[dict]]:
         return next(self.encode_all([text]))
 
-    def _merged(self, words: list[str], solved: list[tuple[bytes, int, int]]):
-        """Of N segmentations each differs from the best in some of the N - 1 closest words.
+    def _merged(self, words: list[str], ids: np.ndarray, scores: np.ndarray, gaps: np.ndarray, begins: np.ndarray):
+        """Score and the n best segmentations; each differs from the best in some of the N - 1 closest words.
 
         Equal scores are ordered by the changed places, from left to right.
         """
-        if not words:
-            return np.empty(0, np.int32), 0, [{"score": 0, "edits": []}]
-        packed, scores, gap_list = zip(*solved)
-        ids, score = np.frombuffer(b"".join(packed), np.int32), sum(scores)
-        gaps, wanted = np.array(gap_list), self.nbest - 1
+        wanted = self.nbest - 1
         if wanted and len(gaps) > wanted:
             near = np.flatnonzero(gaps <= np.partition(gaps, wanted - 1)[wanted - 1])
             near = near[np.argsort(gaps[near], kind="stable")][:wanted]
@@ -320,13 +362,13 @@ class Segmenter:
         near = np.sort(near[gaps[near] < _NEVER])
         merged: list[tuple[int, tuple]] = [(0, ())]
         for place in near.tolist():
-            best_ids, best_score, _ = solved[place]
-            choices = [(0, None)] + [(best_score - s, i) for s, i in self._choices(words[place])
-                                     if array("i", i).tobytes() != best_ids]
+            best = tuple(ids[begins[place]:begins[place + 1]].tolist())
+            choices = [(0, None)] + [(int(scores[place]) - s, i) for s, i in self._choices(words[place]) if i != best]
             merged = sorted(((gap + more, edits if new is None else (*edits, (place, new)))
                              for gap, edits in merged for more, new in choices), key=lambda x: (x[0], x[1]))[:self.nbest]
-        span = {p: (sum(map(len, packed[:p])) // 4, len(packed[p]) // 4) for p in near.tolist()}
-        return ids, score, [
+        span = {p: (int(begins[p]), int(begins[p + 1] - begins[p])) for p in near.tolist()}
+        score = int(scores.sum())
+        return score, [
             {"score": score - gap, "edits": [{"at": span[p][0], "drop": span[p][1], "ids": list(new)} for p, new in edits]}
             for gap, edits in merged]
 

@@ -105,8 +105,11 @@ def test_n_best_matches_all_segmentations():
 
 def test_words_solved_together_as_alone():
     segmenter = pieces.Segmenter(pieces.load_vocabulary(PIECES))
-    words = {"▁hello", "▁theé", "x", "▁", "▁" + "ab" * 20, "漢", "▁▁▁", "▁1234"}
-    together = segmenter.solve(words)
+    words = ["▁hello", "▁theé", "x", "▁", "▁" + "ab" * 20, "漢", "▁▁▁", "▁1234", "▁" + "ab" * 40, "𝄞a"]
+    words += ["▁" + w for w in "the quick brown fox jumps over lazy dogs 12345 naïve".split()]
+    solved = segmenter.solve(words)
+    together = {w: (solved.ids[a:a + n].astype(np.int32).tobytes(), score, gap) for w, a, n, score, gap in zip(
+        words, solved.start.tolist(), solved.count.tolist(), solved.score.tolist(), solved.gap.tolist())}
     assert {w: segmenter.search(w) for w in words} == together
     for w in words:
         best = segmenter.n_best(w, 2)
