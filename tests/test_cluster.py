@@ -54,6 +54,20 @@ def test_dbscan_matches_brute_force(spark, monkeypatch, leaf):
     assert (got == want).all() and len(set(want)) > 3
 
 
+def test_dbscan_decides_dense_blocks_by_their_boxes(spark, monkeypatch):
+    monkeypatch.setattr(density, "LEAF", 16)
+    x = blobs(7)
+    got = labels_of(density.dbscan(frame(spark, x), 0.4, 12), "dbscan_label")
+    assert (got == brute_dbscan(x, 0.4, 12)).all() and len(set(got)) > 1
+
+
+def test_dbscan_of_nothing_and_of_null_features(spark):
+    none = stage(spark.createDataFrame([("1", None), ("2", None)], "product_id string, x array<double>").select(
+        "product_id", F.when(F.col("x").isNotNull(), array_to_vector("x")).alias("features")))
+    assert [r.dbscan_label for r in density.dbscan(none).collect()] == [density.NOISE] * 2
+    assert density.dbscan(none.where("false")).count() == 0
+
+
 def test_dbscan_all_noise(spark):
     x = np.arange(20, dtype=float).reshape(10, 2)
     assert set(labels_of(density.dbscan(frame(spark, x), 0.3, 5), "dbscan_label")) == {-1}
