@@ -13,7 +13,7 @@ from shelfwise.operators import (
     audit, bi, classify, clean, cluster, dedup, enrich, normalize, rules, scoring, silhouette,
 )
 from shelfwise.plans import catalogue, derived, runs
-from shelfwise.sources import catalog, html, sinks
+from shelfwise.sources import bucketed, catalog, html, sinks
 from shelfwise.sources.catalog import table
 from shelfwise.staging import fresh_path, stage
 from shelfwise.streaming import calls as call_stream
@@ -527,9 +527,10 @@ def dedup_first(spark, folder):
 @query
 def history_keep_last(spark, folder):
     rows = derived.runs(spark, folder).withColumn("scraped_at", F.lit("2024-01-01"))
-    history = rows.where(F.col("seq") < 10_000_000_000)
-    run = rows.where(F.col("seq") >= 10_000_000_000)
-    return dedup.append_history(history, run).select("title", "price", "platform", "product_id", "rating")
+    path = fresh_path(spark, "history")
+    for run in (rows.where(F.col("seq") < 10_000_000_000), rows.where(F.col("seq") >= 10_000_000_000)):
+        bucketed.merge(run, path, buckets=8)
+    return bucketed.read(spark, path, rows.schema).select("title", "price", "platform", "product_id", "rating")
 
 
 @query
@@ -1003,6 +1004,6 @@ def stream_history(spark, folder):
     rows = stage(derived.runs(spark, folder).withColumn("scraped_at", F.lit("2024-01-01")), "runs")
     path = fresh_path(spark)
     source = spark.readStream.schema(rows.schema).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
-    history_stream.accumulate(source, f"{path}/log", f"{path}/state").awaitTermination()
-    return history_stream.current(spark.read.parquet(f"{path}/log")).select(
+    history_stream.accumulate(source, f"{path}/log", f"{path}/state", 8).awaitTermination()
+    return history_stream.current(spark, f"{path}/log", rows.schema).select(
         "title", "price", "platform", "product_id", "rating")

@@ -11,17 +11,19 @@ from shelfwise.functions import labels
 from shelfwise.operators import (
     bi, classify, clean, cluster, dedup, density, enrich, hierarchy, normalize, rules, scoring, silhouette,
 )
-from shelfwise.sources import catalog, sinks
+from shelfwise.sources import bucketed, catalog, sinks
 from shelfwise.staging import stage
 
 
 def ingest(
     payloads: dict[str, DataFrame], folder: str, run_ts: str, label: str,
-    history: DataFrame | None = None, order: Column | None = None,
+    history: DataFrame | str | None = None, order: Column | None = None, buckets: int = bucketed.BUCKETS,
 ) -> dict[str, DataFrame]:
     """Landed payloads to one de-duplicated snapshot, its files and the history.
 
-    ``order`` ranks copies of a product inside the run (first wins).
+    ``order`` ranks copies of a product inside the run (first wins). ``history``
+    is the folder of a bucketed history, of which the run rewrites its own
+    buckets, or rows that are written anew together with the run.
     """
     merged = normalize.stamp(normalize.normalize(payloads), run_ts)
     place = F.struct("platform", "url", "product_id") if order is None else order
@@ -31,6 +33,10 @@ def ingest(
     sinks.write_snapshot_csv(snapshot, folder, label)
     sinks.write_jsonl(snapshot, f"{folder}/jsonl/{label}")
     ordered = snapshot.withColumn("seq", F.col("product_id"))
+    if isinstance(history, str):
+        bucketed.merge(ordered, history, buckets=buckets)
+        kept = bucketed.read(ordered.sparkSession, history, ordered.schema).drop("seq")
+        return {"snapshot": snapshot, "history": kept, "summary": bi.run_summary(kept)}
     past = None if history is None else history.withColumn("seq", F.col("product_id"))
     kept = sinks.append_history(past, ordered, f"{folder}/history/{label}").drop("seq")
     return {"snapshot": snapshot, "history": kept, "summary": bi.run_summary(kept)}

@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwise.operators import dedup
+from shelfwise.sources import bucketed
 
 
-def accumulate(runs: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch of run rows to a partitioned history log.
+def accumulate(runs: DataFrame, folder: str, checkpoint: str, buckets: int = bucketed.BUCKETS) -> StreamingQuery:
+    """Merge each micro-batch of run rows into a bucketed history.
 
-    A batch is de-duplicated before it is written, into a folder named by its
-    batch id, so a replayed batch overwrites itself. ``current`` gives the
-    de-duplicated history over all batches.
+    The batch id is the version, so a replayed batch changes nothing, and a
+    batch rewrites only the buckets of its own keys. ``current`` gives the history.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = dedup.keep_last(batch)
-        kept.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        bucketed.merge(batch, folder, buckets=buckets, version=batch_id)
 
     return runs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()
 
 
-def current(log: DataFrame) -> DataFrame:
+def current(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Latest copy of every history key, by batch and then by ``seq``."""
-    ordered = log.withColumn("seq", F.struct("batch_id", "seq"))
-    return dedup.keep_last(ordered).drop("seq", "batch_id")
+    return bucketed.read(spark, folder, schema).drop("seq")

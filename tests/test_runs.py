@@ -13,6 +13,11 @@ def test_ingest(spark, folder, tmp_path):
     assert again["history"].count() == 2 * out["history"].count()
     same = runs.ingest(payloads, str(tmp_path), "2024-01-02T00:00:00", "c", history=again["history"])
     assert same["history"].count() == again["history"].count()
+    for i, day in enumerate(("2024-01-01", "2024-01-02", "2024-01-02")):
+        kept = runs.ingest(payloads, str(tmp_path), f"{day}T00:00:00", f"d{i}", history=str(tmp_path / "kept"), buckets=8)["history"]
+    columns = sorted(kept.columns)
+    assert sorted(columns) == sorted(same["history"].columns)
+    assert kept.select(columns).exceptAll(same["history"].select(columns)).count() == 0 and kept.count() == same["history"].count()
 
 
 def test_analysis_run(spark, folder, tmp_path):

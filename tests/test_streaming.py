@@ -41,7 +41,7 @@ def test_history_over_batches(spark, tmp_path):
     for i, rows in enumerate(runs):
         spark.createDataFrame(rows, shape).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
         source = spark.readStream.schema(shape).parquet(str(tmp_path / "in/*"))
-        history.accumulate(source, str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
-    kept = history.current(spark.read.parquet(str(tmp_path / "log")))
+        history.accumulate(source, str(tmp_path / "log"), str(tmp_path / "state"), 4).awaitTermination()
+    kept = history.current(spark, str(tmp_path / "log"), source.schema)
     assert {(r.title, r.rating) for r in kept.collect()} == {("A", 2.0), ("B", 1.0)}
     assert dedup.HISTORY_KEYS[-1] == "scraped_at" and kept.where(F.col("rating").isNull()).count() == 0
