@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from shelfwise.schema import NA_TOKENS
+
+NA_LIST = ", ".join(f"'{t}'" for t in NA_TOKENS)
+
 PRODUCTS = """
 sold AS (
   SELECT l_partkey, count(*) AS n,
@@ -117,6 +121,8 @@ def stripped(html: str) -> str:
 ORACLE: dict[str, str] = {
     "products_view": products(f"SELECT {PRODUCT_LIST} FROM products"),
     "csv_snapshot": products(f"SELECT {PRODUCT_LIST} FROM products"),
+    "csv_quoted_lines": f"""SELECT doc_id::VARCHAR AS product_id, CASE WHEN text NOT IN ({NA_LIST}) THEN text END AS description,
+        lang AS category FROM documents""",
     "jsonl_snapshot": products("SELECT product_id, title, category, price, rating FROM products"),
     "optional_top_k": scored(
         f"SELECT row_number() OVER (ORDER BY {BEST})::INTEGER AS rank, product_id, score FROM scored "

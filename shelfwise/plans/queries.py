@@ -50,6 +50,16 @@ def csv_snapshot(spark, folder):
     return catalog.read_products_csv(spark, path).select(*PRODUCT_COLUMNS)
 
 
+@query
+def csv_quoted_lines(spark, folder):
+    """Texts of many lines through a CSV snapshot and back."""
+    texts = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("product_id"), F.col("text").alias("description"),
+        F.col("lang").alias("category"))
+    path = sinks.write_snapshot_csv(texts, fresh_path(spark), "20240101_000000")
+    return catalog.read_products_csv(spark, path).select("product_id", "description", "category")
+
+
 @query
 def jsonl_snapshot(spark, folder):
     rows = catalogue.products(spark, folder).select("product_id", "title", "category", "price", "rating")

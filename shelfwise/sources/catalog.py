@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schema
+from shelfwise.sources import csvrecords
+from shelfwise.staging import stage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,34 +71,40 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV snapshots under the declared schema; NA texts become null.
 
-    Files are grouped by their header line and each group is read under its
-    own, so files may order, lack or add columns; extras are read as text.
-    ``_corrupt`` holds, as JSON, the cells of a row that do not parse in their
-    column's type; those cells are null. Quoted line ends are allowed, which
-    makes a file one task: split large snapshots when writing them.
+    Files are grouped by their header and each group is read under its own, so
+    files may order, lack or add columns; extras are read as text. ``_corrupt``
+    holds, as JSON, the cells of a row that do not parse in their column's
+    type; those cells are null. Quoted line ends are allowed, and a file is
+    read by many tasks all the same (:mod:`shelfwise.sources.csvrecords`).
     """
-    frames = [_read_under_header(spark, files) for files in _files_by_header(spark, path)]
+    records = csvrecords.read_records(spark, path)
+    heads = stage(records.where("block = 0").groupBy("file").agg(
+        F.min_by("text", "n").alias("header"), F.min("n").alias("head_n")), "csv-heads")
+    rows = records.join(heads, "file").where("block > 0 OR n > head_n")
+    # One row a distinct header reaches the driver.
+    headers = heads.groupBy("header").agg(F.min("file").alias("first")).orderBy("first").collect()
+    frames = [_under_header(rows.where(F.col("header") == h["header"]), h["header"]) for h in headers]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """Files of each header, in order of their first file. One row a file and one a header reach the driver."""
-    lines = spark.read.text(path).select(
-        F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value"),
-        F.monotonically_increasing_id().alias("n"))
-    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return [files for files in sorted(r["files"] for r in groups)]
+def _column_names(header: str) -> list[str]:
+    """Names of a header record; empty ones are numbered, repeated ones get their place as a suffix."""
+    cells = next(csv.reader(io.StringIO(header.removeprefix("\ufeff"), newline="")))
+    often = Counter(c.lower() for c in cells)
+    return [f"_c{i}" if not c else f"{c}{i}" if often[c.lower()] > 1 else c for i, c in enumerate(cells)]
 
 
-def _read_under_header(spark: SparkSession, files: list[str]) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    header = reader.csv(files[0]).columns
-    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(files)
+def _under_header(rows: DataFrame, header: str) -> DataFrame:
+    names = _column_names(header)
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    options = {"escape": '"', "multiLine": "true", "lineSep": "\n", "maxColumns": str(max(20480, 2 * len(names)))}
+    cells = F.from_csv("text", texts.toDDL(), options)
+    raw = rows.select(cells.alias("cells")).select("cells.*")
     kinds = {f.name: f.dataType for f in schema.PRODUCT.fields}
     columns, failed = [], []
-    for c in header:
-        text = F.when(~F.col(c).isin(schema.NA_TOKENS), F.col(c))
+    for c in names:
+        cell = F.col(f"`{c.replace('`', '``')}`")
+        text = F.when(~cell.isin(schema.NA_TOKENS), cell)
         kind = kinds.get(c, T.StringType())
         value = text
         if isinstance(kind, (T.LongType, T.IntegerType)):

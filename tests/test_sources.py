@@ -1,7 +1,29 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.sources import catalog, html, sinks, synthetic
+from shelfwise.sources import catalog, csvrecords, html, sinks, synthetic
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are read in blocks of about 200 bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted_table(rng, end, stray):
+    """CSV of 80 rows: cells with line ends, quotes, commas, empty ones and some of several blocks."""
+    def cell():
+        if stray and rng.random() < 0.3:
+            return "z" + "".join(rng.choice('ab" x') for _ in range(4))
+        text = "".join(rng.choice('ab ,"\n') for _ in range(rng.choice([0, 1, 3, 8, 8, 8, 8, 700 if rng.random() < 0.2 else 5])))
+        return '"' + text.replace('"', '""') + '"' if set(text) & set(',"\n') or rng.random() < 0.2 else text
+    return "title,brand,extra" + end + "".join(",".join(cell() for _ in range(3)) + end for _ in range(80))
 
 
 def test_csv_na_tokens_and_types(spark, tmp_path):
@@ -25,6 +47,32 @@ def test_csv_files_with_other_columns_and_broken_cells(spark, tmp_path):
         "D": (None, None, '{"review_count":"many"}')}
 
 
+@pytest.mark.parametrize("seed,end,stray", [(1, "\n", False), (2, "\r\n", False), (3, "\n", True)])
+def test_one_csv_file_in_many_tasks_equals_one_task(spark, tmp_path, small_blocks, seed, end, stray):
+    (tmp_path / "p.csv").write_bytes(quoted_table(random.Random(seed), end, stray).encode())
+    assert csvrecords.read_records(spark, str(tmp_path)).select("block").distinct().count() >= 8
+    plain = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path))
+    plain = plain.select(*[F.when(~F.col(c).isin(catalog.schema.NA_TOKENS), F.col(c)).alias(c) for c in plain.columns])
+    got = catalog.read_products_csv(spark, str(tmp_path)).select("title", "brand", "extra")
+    assert got.exceptAll(plain).count() == 0 and got.count() == plain.count()
+
+
+def test_csv_cell_over_many_blocks_open_cells_and_empty_files(spark, tmp_path, small_blocks):
+    long = "line of text\n" * 300
+    (tmp_path / "a.csv").write_text(f'title,brand\nA,"{long}"\n\nB,x\n"C","never\nclosed,\n' + "D,y\n" * 100)
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text('title,"br""and\nname"\n')
+    rows = {r.title: r for r in catalog.read_products_csv(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"A", "B", "C"} and rows["A"].brand == long and rows["B"].brand == "x"
+    assert rows["C"].brand.startswith("never\nclosed,\nD,y") and 'br"and\nname' in rows["A"].asDict()
+
+
+def test_csv_keeps_outer_spaces(spark, tmp_path):
+    rows = spark.createDataFrame([(" a ", "x\n"), ("\tb", " y")], "title string, brand string")
+    path = sinks.write_snapshot_csv(rows, str(tmp_path), "1")
+    assert catalog.read_products_csv(spark, path).select("title", "brand").exceptAll(rows).count() == 0
+
+
 def test_synthetic_catalogue(spark):
     df = synthetic.synthetic_products(spark, 300)
     assert {"score_rank", "is_top_product"} <= set(df.columns)
