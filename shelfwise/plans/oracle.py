@@ -574,6 +574,25 @@ def _itemsets(widest: int) -> str:
     return " UNION ALL ".join(of(k) for k in range(1, widest + 1))
 
 
+def itemset_rules(min_support: float, min_lift: float) -> str:
+    """Rules between the sides of all frequent ``sets``."""
+    return f"""
+      frequent AS MATERIALIZED (SELECT s, freq FROM sets, total WHERE freq >= ceil({min_support} * n)),
+      masks AS (SELECT s, freq, unnest(generate_series(1, (1 << len(s)) - 2)) AS mask FROM frequent WHERE len(s) > 1),
+      parted AS MATERIALIZED (SELECT freq AS n_all, list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS ant,
+        list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS con FROM masks),
+      sided AS (SELECT n_all, ant, a.freq AS n_ant, con, c.freq AS n_con
+        FROM parted JOIN frequent a ON a.s = ant JOIN frequent c ON c.s = con),
+      set_rules AS (SELECT array_to_string(ant, ', ') AS antecedents, array_to_string(con, ', ') AS consequents,
+        round(n_all / n, 4) AS support, round(n_all / n_ant, 4) AS confidence,
+        round((n_all / n_ant) / (n_con / n), 4) AS lift FROM sided, total WHERE (n_all / n_ant) / (n_con / n) >= {min_lift})"""
+
+
+# Chunks hold five titles at most, drawn baskets four; the catalogue has no related products.
+ANALYSIS_RULES = f"""{SCORED}, {chunk_items('scored')}, {band_items('scored')},
+items AS (SELECT * FROM chunk_items UNION ALL SELECT * FROM band_items), sets AS MATERIALIZED ({_itemsets(5)}),
+total AS (SELECT count(DISTINCT basket_id) AS n FROM items), {itemset_rules(0.01, 1.0)}"""
+
 TYPES = "ECONOMY, LARGE, MEDIUM, PROMO, SMALL, STANDARD"
 # Six product types, so no basket is wider.
 ITEMSETS = order_items("p_type") + f""",
@@ -598,16 +617,16 @@ ORACLE |= {
                      "max(support) AS max_support FROM rules"),
     "fpgrowth_itemsets": f"""WITH {ITEMSETS} SELECT array_to_string(s, '|') AS items, freq FROM sets, total
       WHERE freq >= 0.05 * n""",
-    "fpgrowth_rules": f"""WITH {ITEMSETS.replace('sets AS (', 'sets AS MATERIALIZED (')},
-      frequent AS MATERIALIZED (SELECT s, freq FROM sets, total WHERE freq >= ceil(0.05 * n)),
-      masks AS (SELECT s, freq, unnest(generate_series(1, (1 << len(s)) - 2)) AS mask FROM frequent WHERE len(s) > 1),
-      parted AS MATERIALIZED (SELECT freq AS n_all, list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS ant,
-        list_filter(s, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS con FROM masks),
-      sided AS (SELECT n_all, ant, a.freq AS n_ant, con, c.freq AS n_con
-        FROM parted JOIN frequent a ON a.s = ant JOIN frequent c ON c.s = con)
-      SELECT array_to_string(ant, ', ') AS antecedents, array_to_string(con, ', ') AS consequents,
-        round(n_all / n, 4) AS support, round(n_all / n_ant, 4) AS confidence,
-        round((n_all / n_ant) / (n_con / n), 4) AS lift FROM sided, total WHERE (n_all / n_ant) / (n_con / n) >= 0.9""",
+    "fpgrowth_rules": f"WITH {ITEMSETS.replace('sets AS (', 'sets AS MATERIALIZED (')}, {itemset_rules(0.05, 0.9)} "
+                      "SELECT * FROM set_rules",
+    "analysis_rules": f"WITH {ANALYSIS_RULES} SELECT * FROM set_rules",
+    # The catalogue's rows, fixed sizes, and the rules.
+    "analyse": f"""WITH {ANALYSIS_RULES}, sizes AS (SELECT (SELECT count(*) FROM scored) AS n,
+      (SELECT count(*) FROM set_rules) AS found, (SELECT count(*) FROM (SELECT DISTINCT shop_name, shop_country FROM scored)) AS shops)
+      SELECT unnest(['df_clean', 'products_scored', 'products_clustered', 'pca_2d', 'top_k_products', 'shop_leaderboard',
+        'association_rules', 'top_rules', 'supervised_metrics', 'cross_validation', 'diagnostics', 'clustering_metrics',
+        'summary']) AS dataset,
+        unnest([n, n, n, n, least(n, 50), least(shops, 10), found, least(found, 20), 2, 2, 1, 1, 1]) AS rows FROM sizes""",
     "one_hot_baskets": f"""WITH {order_items('p_type')} SELECT {TYPES}, count(*) AS baskets FROM (
       SELECT {', '.join(f"bool_or(item = '{t}') AS {t}" for t in TYPES.split(', '))}
       FROM items GROUP BY basket_id) GROUP BY {TYPES}""",

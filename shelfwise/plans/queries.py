@@ -886,6 +886,11 @@ def rf_cross_validation(spark, folder):
     return classify.cv_summary(classify.cross_validate(train, classify.random_forest(), classify.balanced_weights))
 
 
+@query
+def gbt_cross_validation(spark, folder):
+    return _analysis(spark, folder)["cross_validation"].where("model = 'boosted_trees'")
+
+
 # --- clustering -----------------------------------------------------------
 
 
@@ -951,6 +956,33 @@ def group_silhouettes(spark, folder):
 
 # --- whole runs -----------------------------------------------------------
 
+_analyses: dict = {}
+
+
+def _analysis(spark, folder):
+    """The written outputs of a whole analysis run with its defaults, made once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _analyses:
+        path = fresh_path(spark, "analysis")
+        outputs = runs.analyse(catalogue.products(spark, folder), path, "2024-01-01T00:00:00")
+        _analyses[key] = {name: spark.read.parquet(f"{path}/{name}") for name in outputs}
+        _analyses[key]["manifest"] = spark.read.schema("dataset string, rows bigint").json(f"{path}/manifest")
+    return _analyses[key]
+
+
+@query
+def analyse(spark, folder):
+    """Row counts of every output that does not depend on a fitted model."""
+    fitted = ["rf_feature_importance", "gbt_feature_importance", "elbow_curve", "cluster_profiles"]
+    return _analysis(spark, folder)["manifest"].where(~F.col("dataset").isin(fitted))
+
+
+@query
+def analysis_rules(spark, folder):
+    """Rules of itemsets as the analysis run writes them."""
+    return _analysis(spark, folder)["association_rules"]
+
+
 
 @query
 def ingest_snapshot(spark, folder):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,9 +89,13 @@ def analyse(
     matrix = stage(matrix.withColumn("label", F.col("is_top_product")), "matrix")
 
     split = stage(classify.stratified_split(matrix.select("product_id", "features", "label")), "split")
-    rf, rf_metrics = classify.train_and_evaluate(split, "random_forest", **(forest or {}))
-    gbt, gbt_metrics = classify.train_and_evaluate(split, "boosted_trees", **(boosting or {}))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
+    kinds = {"random_forest": forest or {}, "boosted_trees": boosting or {}}
+    fits = [partial(classify.train_and_evaluate, split, kind, **params) for kind, params in kinds.items()]
+    if cross_validation:
+        fits += [partial(classify.cross_validate_kind, train.drop("is_test"), kind, **params)
+                 for kind, params in kinds.items()]
+    (rf, rf_metrics), (gbt, gbt_metrics), *validated = classify.at_once(products.sparkSession, fits)
     metrics = rf_metrics.unionByName(gbt_metrics)
 
     sweep = cluster.k_sweep(matrix, k_max, n_init=n_init)
@@ -113,13 +118,8 @@ def analyse(
         "products_clustered": clustered.drop("features"), "cluster_profiles": cluster.name_clusters(clustered),
         "pca_2d": projected, "association_rules": mined, "top_rules": rules.top_rules(mined, 20, 0.0),
     }
-    if cross_validation:
-        folds = train.drop("is_test")
-        outputs["cross_validation"] = classify.cv_summary(classify.cross_validate(
-            folds, classify.random_forest(**(forest or {})), classify.balanced_weights)).withColumn(
-            "model", F.lit("random_forest")).unionByName(classify.cv_summary(classify.cross_validate(
-                folds, classify.boosted_trees(**(boosting or {})), classify.positive_weights)).withColumn(
-                "model", F.lit("boosted_trees")))
+    if validated:
+        outputs["cross_validation"] = validated[0].unionByName(validated[1])
     outputs["summary"] = run_report(scored, k, names, metrics, cluster_metrics, mined)
     sinks.write_bundle(outputs, folder, generated_at)
     rf.write().overwrite().save(f"{folder}/models/random_forest")
