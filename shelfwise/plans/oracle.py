@@ -770,6 +770,7 @@ ORACLE |= {
 }
 
 ORACLE["stream_admission"] = ORACLE["rate_limit_admission"]
+ORACLE["stream_admission_ordered"] = ORACLE["rate_limit_admission"]
 ORACLE["stream_history"] = ORACLE["history_keep_last"]
 # A stream in append mode gives the windows that the watermark has closed.
 ORACLE["stream_minute_stats"] = ORACLE["minute_stats"]

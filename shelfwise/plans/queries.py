@@ -18,6 +18,7 @@ from shelfwise.sources.catalog import table
 from shelfwise.staging import fresh_path, stage
 from shelfwise.streaming import calls as call_stream
 from shelfwise.streaming import history as history_stream
+from shelfwise.streaming import ordered as ordered_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1041,6 +1042,32 @@ def stream_admission(spark, folder):
     return _drain(call_stream.admit(events, {"click": 3}, 4, derived.HOUR))
 
 
+@query
+def stream_admission_ordered(spark, folder):
+    """The same verdicts where calls arrive up to a sixth of the log's time late, over several batches."""
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("server"))
+    micros = F.unix_micros("ts")
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    width = (last - first) // 6 + 1
+    arrival = micros + F.pmod(F.xxhash64("seq"), F.lit(width))
+    arrived = stage(events.withColumn("part", F.floor((arrival - first) / width)), "arrivals")
+    path = fresh_path(spark, "stream")
+    for part in range(7):
+        arrived.where(F.col("part") == part).drop("part").write.parquet(f"{path}/in/{part}")
+    # A row without a call, far ahead, lets the last calls go.
+    spark.range(1).select(F.lit(None).cast(events.schema["seq"].dataType).alias("seq"),
+                          F.timestamp_micros(F.lit(last + 10 * width)).alias("ts"),
+                          F.lit("none").alias("server")).write.parquet(f"{path}/in/end")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ordered_stream.STATE_STORE)
+    try:
+        return _drain(ordered_stream.admit_in_order(
+            source, f"{2 * width} microseconds", {"click": 3}, 4, derived.HOUR, 3_600_000))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
 @query
 def stream_history(spark, folder):
     rows = stage(derived.runs(spark, folder).withColumn("scraped_at", F.lit("2024-01-01")), "runs")

@@ -1,9 +1,11 @@
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import audit, dedup
-from shelfwise.streaming import calls, history
+from shelfwise.streaming import calls, history, ordered
 
 CALL = "seq long, ts long, server string"
 
@@ -25,6 +27,48 @@ def test_admission_keeps_state_between_batches(spark, tmp_path):
     assert got == want and len(set(want.values())) == 2
 
 
+@pytest.fixture
+def timers(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ordered.STATE_STORE)
+    yield
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def in_batches(spark, tmp_path, batches):
+    shape = "seq long, t long, server string"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, shape).select("seq", F.timestamp_micros("t").alias("ts"), "server").coalesce(
+            1).write.parquet(str(tmp_path / f"in/{i}"))
+    return spark.readStream.schema("seq long, ts timestamp, server string").option("maxFilesPerTrigger", 1).parquet(
+        str(tmp_path / "in/*"))
+
+
+def test_ordered_admission_holds_late_calls(spark, tmp_path, timers):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(0, 20_000_000), rng.choice("ab")) for i in range(300)]
+    arriving = sorted(rows, key=lambda r: r[1] + rng.randrange(0, 4_000_000))
+    source = in_batches(spark, tmp_path, [arriving[i:i + 60] for i in range(0, 300, 60)] + [[(None, 9 * 10**9, "a")]])
+    verdicts = ordered.admit_in_order(source, "5 seconds", {"a": 2}, 1, 1_000_000)
+    query = verdicts.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(
+        availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    got = {r.seq: r.admitted for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = spark.createDataFrame([(*r, "t") for r in rows], f"{CALL}, tool string")
+    assert got == {r.seq: r.admitted for r in audit.admit(batch, {"a": 2}, 1, 1_000_000).collect()}
+    assert len(set(got.values())) == 2
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress]
+    assert max(held) > 0 and held[-1] == 0
+
+
+def test_ordered_admission_of_calls_too_late_or_without_time(spark, tmp_path, timers):
+    batches = [[(1, 1_000_000, "a"), (2, 60_000_000, "a"), (3, None, "a"), (4, 61_000_000, None)],
+               [(5, 60_500_000, "a")], [(6, 1_200_000, "a"), (7, 200_000_000, "b")], [(None, 9 * 10**9, "b")]]
+    got = drain(ordered.admit_in_order(in_batches(spark, tmp_path, batches), "2 seconds", {}, 1, 1_000_000), tmp_path, "out")
+    # Call 6 comes when the watermark has passed its slot: the one place is taken by call 2 by then.
+    assert {r.seq: (r.server, r.admitted) for r in got.collect()} == {
+        1: ("a", True), 2: ("a", True), 3: ("a", None), 4: (None, True), 5: ("a", False), 6: ("a", False), 7: ("b", True)}
+
+
 def test_minute_stats_from_json_lines(spark, tmp_path):
     log = tmp_path / "log"
     log.mkdir()
