@@ -5,28 +5,35 @@ character shapes. An indicator is scaled by the log ratio of its frequencies
 in the two classes, rows are brought to unit length, and dual coordinate
 descent fits a linear hinge-loss model to them.
 
-* The fit reads a bounded sample of labelled rows (``per_class`` of each
-  class, least hashes first), whatever the size of the tables. Features of the
-  sample are computed where the rows are read; one task solves the dual.
+* The fit reads a bounded sample of labelled rows (``per_class`` rows and
+  ``max_slots`` slots of each class, least hashes first), whatever the size of
+  the tables. Features of the sample are computed where the rows are read; one
+  task solves the dual.
 * The model is one vector of 2**18 weights. Scoring is one pass over the scan
   without a shuffle.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.batches import texts, with_computed
+from shelfwise.staging import drop_stage, stage
 
 BITS = 18
 #: Labelled rows of each class that the fit reads.
 PER_CLASS = 4000
+#: Slots of the sample's rows of each class; rows beyond that, by hash, are left out of the fit.
+MAX_SLOTS = 10_000_000
+#: Bytes of a text whose words or shapes are arrays at a time.
+SLICE = 1 << 20
 SMOOTHING, COST, EPOCHS, STEEPNESS = 1.0, 1.0, 20, 4.0
 #: Runs of shapes: lower-case letters and bytes beyond ASCII are one shape, capitals and digits one each.
 SHAPE_RUNS = (1, 2, 3, 4, 6)
@@ -34,6 +41,7 @@ _SHAPE = bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48
                for b in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _DOWN = np.uint64(64 - BITS)
+_GAP = re.compile(rb"[\t-\r ]")
 _seen = np.zeros(1 << BITS, bool)
 
 
@@ -42,25 +50,45 @@ def _slots(codes: np.ndarray, kind: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(29))) * _FACTOR) >> _DOWN
 
 
+def _word_slices(raw: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, in parts of about ``SLICE`` bytes; no word is cut."""
+    start = 0
+    while start < len(raw):
+        gap = _GAP.search(raw, start + SLICE)
+        end = gap.start() if gap else len(raw)
+        yield raw[start:end].split()
+        start = end
+
+
 def features(text: str | None) -> np.ndarray:
-    """Sorted slots of the n-grams that occur in the text; none for null and empty texts."""
+    """Sorted slots of the n-grams that occur in the text; none for null and empty texts.
+
+    A text is taken in slices, so memory beyond its bytes and its longest word
+    does not grow with it.
+    """
     raw = text.encode("utf-8", "surrogatepass") if text else b""
-    words = raw.split()
-    if not words:
+    if not raw.strip():
         return np.empty(0, np.int32)
-    codes = np.array(list(map(zlib.crc32, words)), dtype=np.uint64)
-    again = np.concatenate(([False], codes[1:] == codes[:-1]))
-    codes[again] = 1  # a repeated word is one and the same token
-    _seen[_slots(codes, 1)] = True
-    _seen[_slots(codes[:-1] * np.uint64(31) + codes[1:] * np.uint64(1 << 32), 2)] = True
-    shape = np.frombuffer(raw.translate(_SHAPE), np.uint8).astype(np.uint64)
-    run = np.zeros(len(shape), np.uint64)
-    for length in range(1, max(SHAPE_RUNS) + 1):
-        if length > len(shape):
-            break
-        run = (run[:len(shape) - length + 1] << np.uint64(8)) | shape[length - 1:]
-        if length in SHAPE_RUNS:
-            _seen[_slots(run, 16 + length)] = True
+    own = carried = None  # the last word's code before and after repeated words were merged
+    for words in _word_slices(raw):
+        if not words:
+            continue
+        plain = np.array(list(map(zlib.crc32, words)), dtype=np.uint64)
+        codes, before = plain.copy(), np.concatenate((plain[:1] + np.uint64(1) if own is None else [own], plain[:-1]))
+        codes[plain == before] = 1  # a repeated word is one and the same token
+        _seen[_slots(codes, 1)] = True
+        chain = codes if carried is None else np.concatenate(([carried], codes))
+        _seen[_slots(chain[:-1] * np.uint64(31) + chain[1:] * np.uint64(1 << 32), 2)] = True
+        own, carried = plain[-1], codes[-1]
+    overlap = max(SHAPE_RUNS) - 1
+    for start in range(0, len(raw), SLICE):
+        part = raw[max(0, start - overlap):start + SLICE]
+        shape = np.frombuffer(part.translate(_SHAPE), np.uint8).astype(np.uint64)
+        run = np.zeros(len(shape), np.uint64)
+        for length in range(1, min(max(SHAPE_RUNS), len(shape)) + 1):
+            run = (run[:len(shape) - length + 1] << np.uint64(8)) | shape[length - 1:]
+            if length in SHAPE_RUNS:
+                _seen[_slots(run, 16 + length)] = True
     found = np.flatnonzero(_seen)
     _seen[found] = False
     return found.astype(np.int32)
@@ -136,9 +164,12 @@ def fold(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        per_class: int = PER_CLASS):
+        per_class: int = PER_CLASS, max_slots: int = MAX_SLOTS):
     """(ratios, weights, bias), or None where a class has no labelled row outside fold 1.
 
+    The sample has at most ``per_class`` rows and ``max_slots`` slots of each
+    class, least hashes first.
+
     Labels that contradict each other for one doc_id are left out; null labels
     and ids are not read. A repeated doc_id trains on its least text.
     """
@@ -151,8 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     read = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
             .join(F.broadcast(sample), "doc_id")  # at most 2 * per_class ids
             .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
-    model = (read.mapInPandas(_extract, "label int, doc_id string, slots binary").repartition(1)
-             .mapInPandas(_fit, "ratios binary, weights binary, bias double").first())
+    rows = stage(read.mapInPandas(_extract, "label int, doc_id string, slots binary"), "quality-sample")
+    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    kept = rows.select("label", "doc_id", F.octet_length("slots").alias("bytes")).withColumn(
+        "so_far", F.sum("bytes").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))).where(
+        F.col("so_far") <= 4 * max_slots).select("doc_id")
+    model = (rows.join(F.broadcast(kept), "doc_id").select("label", "doc_id", "slots")  # at most 2 * per_class ids
+             .repartition(1).mapInPandas(_fit, "ratios binary, weights binary, bias double").first())
+    drop_stage(rows)
     return model and (np.frombuffer(model["ratios"], np.float32), np.frombuffer(model["weights"], np.float32), model["bias"])
 
 

@@ -47,6 +47,64 @@ def test_contradicting_and_held_out_labels_are_not_read(spark):
     assert all(np.array_equal(a, b) for a, b in zip(one, two))
 
 
+def plain_slots(text):
+    """Slots by definition, with whole numbers and one n-gram at a time."""
+    def slot(code, kind):
+        mixed = (code + kind) % 2**64 * 0x9E3779B97F4A7C15 % 2**64
+        return ((mixed ^ (mixed >> 29)) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - quality.BITS)
+
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    words = raw.split()
+    if not words:
+        return []
+    codes = [1 if i and w == words[i - 1] else zlib.crc32(w) for i, w in enumerate(words)]
+    found = {slot(c, 1) for c in codes} | {slot((a * 31 + b * 2**32) % 2**64, 2) for a, b in zip(codes, codes[1:])}
+    shapes = [97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in raw]
+    for length in (1, 2, 3, 4, 6):
+        for i in range(len(shapes) - length + 1):
+            found.add(slot(int.from_bytes(bytes(shapes[i:i + length]), "big"), 16 + length))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 20])
+def test_features_by_definition_in_slices_of_any_size(monkeypatch, size):
+    monkeypatch.setattr(quality, "SLICE", size)
+    draw = random.Random(size)
+    texts = ["".join(draw.choice(["a", "bb", " ", "\u00e9", "\n", "  ", "X9", "ab ab ab ", "\x85", "\x1c", "\t"])
+                     for _ in range(draw.randrange(40))) for _ in range(150)]
+    for text in [None, "", " ", "a", *texts]:
+        assert quality.features(text).tolist() == plain_slots(text), repr(text)
+
+
+def test_ratios_and_scores_by_definition(spark):
+    draw = random.Random(4)
+    words = {0: ["buy", "NOW", "!!!", "99", "the"], 1: ["the", "river", "ran", "past", "old"]}
+    rows = [(i, " ".join(draw.choice(words[i % 2]) for _ in range(6)), i % 2) for i in range(90)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(1000, "the the 99"), (1001, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    ratios, weights, bias = quality.fit(docs, labels)
+    seen = [(plain_slots(t), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    sizes = [sum(y == c for _, y in seen) for c in (0, 1)]
+    for slot in {s for slots, _ in seen for s in slots}:
+        n = [sum(slot in slots for slots, y in seen if y == c) for c in (0, 1)]
+        assert ratios[slot] == pytest.approx(np.log(((n[1] + 1) / (sizes[1] + 2)) / ((n[0] + 1) / (sizes[0] + 2))), rel=1e-6, abs=1e-7)
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    for i, text in [*((i, t) for i, t, _ in rows), (1000, "the the 99"), (1001, None)]:
+        own = [float(ratios[s]) for s in plain_slots(text)]
+        length = sum(r * r for r in own) ** 0.5
+        margin = bias + (sum(r * float(weights[s]) for r, s in zip(own, plain_slots(text))) / length if own else 0.0)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-4 * margin)), abs=1e-6)
+
+
+def test_sample_is_bounded_in_slots(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " + ("good" if i % 2 else "BAD!")) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert quality.fit(docs, labels, max_slots=1) is None
+    all_rows, same = quality.fit(docs, labels), quality.fit(docs, labels, max_slots=60 * 200)
+    fewer = quality.fit(docs, labels, max_slots=200)
+    assert np.array_equal(all_rows[0], same[0]) and 0 < np.count_nonzero(fewer[1]) < np.count_nonzero(all_rows[1])
+
+
 def test_dual_coordinate_descent_closes_the_duality_gap():
     draw = np.random.default_rng(0)
     rows = [np.sort(draw.choice(30, 6, replace=False)).astype(np.int32) for _ in range(80)]
