@@ -254,6 +254,50 @@ def test_whole_runs_of_distinct_passages(spark):
     assert {i: g for i, g in got.items() if i} == {i: w for i, w in want.items() if i}
 
 
+def _removed(frame):
+    return {r.doc_id: r.removed for r in linedup.line_report(frame).select("doc_id", "removed").collect()}
+
+
+def _join_rows(plan):
+    """Most rows that a join of an executed plan made."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _join_rows(plan.executedPlan())
+    below = [plan.plan()] if kind.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in kind else 0
+    return max([own, *map(_join_rows, below)])
+
+
+def test_a_text_that_repeats_itself_costs_rows_by_its_length(spark, monkeypatch):
+    """Every line but the first few starts a run that goes on to the end of the text: one row a run, not one a line of each."""
+    made, plain = [], linedup.stage
+
+    def measured(df, name):
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        made.append(_join_rows(execution.executedPlan()))
+        return plain(df, name)
+
+    monkeypatch.setattr(linedup, "stage", measured)
+    n = 600
+    docs = [(1, "\n".join([_line(1, 12)] * n)), (2, "\n".join([_line(2, 20), _line(3, 20), ""] * (n // 3)))]
+    assert _removed(spark.createDataFrame(docs, "doc_id long, text string")) == {1: "1-599", 2: "3-599"}
+    assert n < max(made) <= 4 * len(docs) * n  # two ends of a run for each line
+
+
+def test_runs_go_on_over_blocks_of_blocks(spark, monkeypatch):
+    """Runs that end anywhere between the lengths of blocks, at either side and at a text's end."""
+    draw, docs = random.Random(7), []
+    monkeypatch.setattr(linedup, "REACH", 4)
+    for k, n in enumerate([3, 4, 5, 15, 16, 17, 63, 64, 65, 81, 150]):
+        left, right = ([f"d{k}{s}{i}" for i in range(n)] for s in "lr")
+        core, cut = [_line(1000 + k, 60)], draw.randrange(1, n)
+        docs += [(3 * k, ["a", *left, *core, *right, "b"]), (3 * k + 1, ["c", *left, *core, *right]),
+                 (3 * k + 2, [*left[cut:], *core, *right[:cut], "e"])]
+    want = {i: {2: f"0-{len(t) - 2}", 1: f"1-{len(t) - 1}", 0: ""}[i % 3] for i, t in docs}
+    assert _removed(spark.createDataFrame([(i, "\n".join(t)) for i, t in docs], "doc_id long, text string")) == want
+
+
 def test_rows_without_ids_lose_what_others_have(spark):
     long = _line(1, 60)
     frame = spark.createDataFrame([(None, long), (None, long), (3, long), (3, long)], "doc_id long, text string")
