@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.batches import texts, with_computed
@@ -41,6 +41,8 @@ BINS, ROWS_PER_BAND = 128, 4
 FIRST_BANDS = 8
 #: Counters of the sketch that orders elements by rarity, and values that a written batch holds.
 SLOT_BITS, BATCH_VALUES = 20, 1_000_000
+#: Elements before one in which two nodes are looked up, so that a pair with many in common is met about once.
+BEFORE = 32
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PROBES = np.random.default_rng(11).integers(0, BINS, (BINS, 4096), dtype=np.int64)
@@ -290,14 +292,18 @@ def _finished(members: DataFrame, sizes: DataFrame, group: DataFrame, bodies: Da
                                     "rest bigint, short boolean, e bigint"), "minhash-rare")
     several = rare.groupBy("centre", "f").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("centre", "f")
-    first, rare = rare, stage(rare.join(several.hint("merge"), ["centre", "f"]), "minhash-rare")
+    before = Window.partitionBy("node", "centre").orderBy(F.desc("rest")).rowsBetween(-BEFORE, -1)
+    first, rare = rare, stage(rare.join(several.hint("merge"), ["centre", "f"]).withColumn(
+        "before", F.collect_list("f").over(before)), "minhash-rare")
     drop_stage(first)
     a, b = rare.where("NOT linked").alias("a"), rare.alias("b")
     met = a.hint("merge").join(b, F.expr(
         "a.centre = b.centre AND a.f = b.f AND a.component <> b.component"
         " AND (b.linked OR (a.short AND b.short AND a.node < b.node))"
         f" AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {int(percent)}"
-        f" AND a.e + b.e <= {2 * (100 + percent)} * least(a.rest, b.rest)"))
+        f" AND a.e + b.e <= {2 * (100 + percent)} * least(a.rest, b.rest)"
+        # What a pair meets at an element holds at the ones before it, so it has met at one that both have there.
+        " AND NOT arrays_overlap(a.before, b.before)"))
     pairs = stage(met.groupBy(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).agg(
         F.min("a.centre").alias("centre"), F.any_value(F.col("a.n") + F.col("b.n")).alias("total")), "minhash-tested")
     links = stage(pairs.join(apart.select(F.col("node").alias("u"), "centre", F.col("d").alias("u_d")).hint("merge"),
