@@ -303,3 +303,25 @@ def test_rows_without_ids_lose_what_others_have(spark):
     frame = spark.createDataFrame([(None, long), (None, long), (3, long), (3, long)], "doc_id long, text string")
     out = sorted(((r.doc_id, r.removed) for r in linedup.line_report(frame).collect()), key=repr)
     assert out == [(3, ""), (3, ""), (None, "0-0"), (None, "0-0")]
+
+
+def test_a_pair_is_made_about_once_by_the_exact_join(spark, monkeypatch):
+    """Nodes of a cut family have many elements in common; the join makes their pairs, not one row an element."""
+    made, plain = [], minhash.stage
+
+    def measured(df, name):
+        out = plain(df, name)
+        if name == "minhash-tested" and "total" in out.columns:
+            execution = df._jdf.queryExecution()
+            execution.toRdd().count()
+            made.append((_join_rows(execution.executedPlan()), out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "stage", measured)
+    texts = _family(random.Random(3), 600)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    want, _ = _family_components(list(range(len(texts))), texts)
+    assert [got[i] for i in range(len(texts))] == list(want)
+    [(rows, pairs)] = made
+    assert 0 < rows <= 1.8 * pairs  # a pair may have several centres
