@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from shelfwise.operators import density, rules, silhouette
 from shelfwise.plans import catalogue, derived, runs
 
 
@@ -50,3 +51,30 @@ def test_failing_completions_become_blank(spark):
     df = spark.createDataFrame([(1, "good"), (2, "bad")], "id int, prompt string").coalesce(1)
     assert {r.id: r.completion for r in enrich.complete(df, picky).collect()} == {1: "good!", 2: ""}
     assert enrich.complete(df).where(F.col("completion") == "").count() == 0
+
+
+def _never(*args, **kwargs):
+    raise AssertionError("not needed here")
+
+
+def test_rules_need_no_model(spark, folder, monkeypatch):
+    """The rules of a run come from the scored products alone; before, the query ran the whole analysis."""
+    from shelfwise.operators import classify, cluster
+    from shelfwise.plans.queries import QUERIES
+
+    for module, name in ((classify, "train_and_evaluate"), (classify, "cross_validate_kind"), (cluster, "sweep_fits")):
+        monkeypatch.setattr(module, name, _never)
+    rows = catalogue.scored(spark, folder).select("product_id")
+    found = QUERIES["analysis_rules"](spark, folder)
+    assert found.columns == rules.RULE_COLUMNS and found.count() > 0 and rows.count() > 0
+
+
+def test_labels_of_one_clustering_need_no_other(spark, folder, monkeypatch):
+    """DBSCAN needs no k, and Ward no DBSCAN; before, each query computed all clusterings and silhouettes."""
+    rows = catalogue.matrix(spark, folder).select("product_id", "features")
+    monkeypatch.setattr(silhouette, "euclidean_silhouettes", _never)
+    only = runs.Clustering(rows, _never)
+    assert only.dbscan().select("product_id", "dbscan_label").count() == rows.count()
+    monkeypatch.setattr(density, "point_labels", _never)
+    ward = runs.Clustering(rows, lambda: 3).ward()
+    assert ward.select("hc_label").distinct().count() == 3 and ward.count() == rows.count()
