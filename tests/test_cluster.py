@@ -205,3 +205,36 @@ def test_pca_matches_numpy(spark):
     assert np.allclose(np.abs([[r.pc1, r.pc2] for r in rows]), want, atol=1e-6)
     shares = [r.ratio for r in cluster.explained_variance(models, spark).collect()]
     assert np.allclose(shares, (s ** 2 / (s ** 2).sum())[:2], atol=1e-6)
+
+
+def test_partners_without_a_shuffle_of_pairs(spark):
+    """Blocks are read by the tasks that need them; of equally cheap partners the least id, on a grid full of ties."""
+    rng = np.random.default_rng(8)
+    x, w = np.unique(rng.integers(0, 7, (400, 3)), axis=0).astype(float) + 1e4, None
+    w = rng.integers(1, 4, len(x))
+    points = spark.createDataFrame([(i, int(n), [float(v) for v in p]) for i, (n, p) in enumerate(zip(w, x))], "id long, w long, x array<double>")
+    found = hierarchy.nearest(stage(kdtree.split(stage(points), 3, 16)), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" in plan and "hashpartitioning" not in plan and plan.count("Exchange") == 1
+    cost = ((x[:, None] - x[None]) ** 2).sum(-1) * (w[:, None] * w[None] / (w[:, None] + w[None]))
+    np.fill_diagonal(cost, np.inf)
+    rows = {r.id: r for r in found.collect()}
+    assert sorted(rows) == list(range(len(x)))
+    for i, r in rows.items():
+        assert r.cost == cost[i].min() and r.other == np.flatnonzero(cost[i] == cost[i].min())[0]
+
+
+def test_neighbours_without_a_shuffle_of_pairs(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.random((300, 2)), 1) + 1e4  # distances of exactly eps, far from the origin
+    points = spark.createDataFrame([(i, 1 + i % 3, [float(v) for v in p]) for i, p in enumerate(x)], "pid long, w long, x array<double>")
+    packs = stage(kdtree.packed(kdtree.split(stage(points), 2, 16), ["pid", "w"], 2)).withColumn(
+        "id", F.flatten(F.transform(F.arrays_zip("pid", "w"), lambda m: F.array(m["pid"], m["w"]))))
+    every = packs.select(F.col("block").alias("a")).crossJoin(packs.select(F.col("block").alias("b")))
+    eps2 = float(((x[0] - x[1:]) ** 2).sum(1).min())
+    found = density._around(packs, packs, stage(every), 2, eps2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" in plan and "hashpartitioning" not in plan
+    near = ((x[:, None] - x[None]) ** 2).sum(-1) <= eps2
+    want = near @ (1 + np.arange(300) % 3)
+    assert {r.pid: r.around for r in found.collect()} == dict(enumerate(want.tolist()))
