@@ -1,6 +1,7 @@
+import numpy as np
 from pyspark.sql import functions as F
 
-from shelfwise.operators import density, rules, silhouette
+from shelfwise.operators import cluster, density, hierarchy, rules, silhouette
 from shelfwise.plans import catalogue, derived, runs
 
 
@@ -78,3 +79,22 @@ def test_labels_of_one_clustering_need_no_other(spark, folder, monkeypatch):
     monkeypatch.setattr(density, "point_labels", _never)
     ward = runs.Clustering(rows, lambda: 3).ward()
     assert ward.select("hc_label").distinct().count() == 3 and ward.count() == rows.count()
+
+
+def test_report_needs_neither_ward_nor_silhouettes_of_pairs(spark, folder, monkeypatch):
+    rows = catalogue.matrix(spark, folder).select("product_id", "features")
+    monkeypatch.setattr(silhouette, "euclidean_silhouettes", _never)
+    monkeypatch.setattr(hierarchy, "point_labels", _never)
+    found = runs.Clustering(rows, 3, n_init=2).headline().first()
+    assert found.k == 3 and -1 <= found.kmeans_silhouette <= 1 and 0 <= found.dbscan_outliers <= rows.count()
+
+
+def test_best_k_is_not_fitted_again(spark, folder, monkeypatch):
+    """The sweep's own fit labels the rows; it is the one that a second fit gave."""
+    rows = catalogue.matrix(spark, folder).select("product_id", "features")
+    sweep, fits = cluster.sweep_fits(rows, 3, n_init=2)
+    again = cluster.best_kmeans(rows, 3, 2)
+    assert np.allclose(again.centres, fits[3].centres) and sorted(fits) == [2, 3] and sweep.count() == 2
+    monkeypatch.setattr(cluster, "best_kmeans", _never)
+    found = runs.Clustering(rows, 3, 2, lambda: fits[3]).kmeans
+    assert found.select("cluster").distinct().count() == 3
